@@ -1,11 +1,12 @@
 """Ordered per-key calculations that hold up when one key owns a large share of the rows.
 
-A plain window over a key sorts all rows of that key in one task. Here each key is cut into ordered
-slices (a day, an hour), the window runs per (key, slice), and one small row per slice carries the state
-across slice borders. The rows that meet in one task are those of one slice, plus one summary row per slice
-of a key, whose number is bounded by the length of the calendar.
+A plain window over a key sorts all rows of that key in one task. Keys with more than `hot_rows` rows are
+therefore cut into ordered slices (a day, an hour): the window runs per (key, slice), and one small row per
+slice carries the state across slice borders. All other keys keep the plain window, so data without hot keys
+pays one count per key on top of a single shuffle.
 
-`slice_by` must never decrease along `order`: a date or truncated timestamp of the first order column.
+`slice_by` must never decrease along `order`: a date or truncated timestamp of the first order column. Order
+columns must not be NULL.
 """
 
 from __future__ import annotations
@@ -15,18 +16,34 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+HOT_ROWS = 1_000_000
+
+_HOT = "_hot"
 _SLICE = "_slice"
 _POS = "_pos"
 _EDGE = "_edge"
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than `hot_rows` rows: at most one key per `hot_rows` rows of input, so the list is
+    small enough to replicate. The count is exact, which keeps a re-run task on the same slices."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.filter(F.col("_rows") > hot_rows).select(*keys, F.lit(True).alias(_HOT))
+
+
+def _sliced(df: DataFrame, keys: Sequence[str], slice_by: Column, hot_rows: int) -> DataFrame:
+    """Slice of the rows of hot keys; NULL for all others."""
+    marked = df.join(F.broadcast(hot_keys(df, keys, hot_rows)), list(keys), "left")
+    return marked.withColumn(_SLICE, F.when(F.col(_HOT), slice_by)).drop(_HOT)
+
+
 def _sorted(order: Sequence[str], forward: bool) -> list[Column]:
     return [F.col(c).asc() if forward else F.col(c).desc() for c in order]
 
 
-def _neighbour(df, keys, order, slice_by, values: Mapping[str, str], forward: bool) -> DataFrame:
+def _neighbour(df, keys, order, slice_by, values: Mapping[str, str], forward: bool, hot_rows: int) -> DataFrame:
     keys = list(keys)
-    ranked = df.withColumn(_SLICE, slice_by)
+    ranked = _sliced(df, keys, slice_by, hot_rows)
     inside = Window.partitionBy(*keys, _SLICE).orderBy(*_sorted(order, forward))
     sources = list(dict.fromkeys(values.values()))
     pack = F.struct(*[F.col(c) for c in sources])
@@ -35,7 +52,8 @@ def _neighbour(df, keys, order, slice_by, values: Mapping[str, str], forward: bo
     border = F.max_by(pack, rank) if forward else F.min_by(pack, rank)
     along = Window.partitionBy(*keys).orderBy(F.col(_SLICE).asc() if forward else F.col(_SLICE).desc())
     edges = (
-        ranked.groupBy(*keys, _SLICE)
+        ranked.filter(F.col(_SLICE).isNotNull())
+        .groupBy(*keys, _SLICE)
         .agg(border.alias(_EDGE))
         .withColumn(_EDGE, F.lag(_EDGE).over(along))
     )
@@ -49,26 +67,29 @@ def _neighbour(df, keys, order, slice_by, values: Mapping[str, str], forward: bo
 
 
 def previous_values(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_by: Column,
-                    values: Mapping[str, str]) -> DataFrame:
+                    values: Mapping[str, str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add `{new: source}` columns holding the source column of the preceding row of the key."""
-    return _neighbour(df, keys, order, slice_by, values, forward=True)
+    return _neighbour(df, keys, order, slice_by, values, True, hot_rows)
 
 
 def next_values(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_by: Column,
-                values: Mapping[str, str]) -> DataFrame:
+                values: Mapping[str, str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add `{new: source}` columns holding the source column of the following row of the key."""
-    return _neighbour(df, keys, order, slice_by, values, forward=False)
+    return _neighbour(df, keys, order, slice_by, values, False, hot_rows)
 
 
-def _running(df, keys, order, slice_by, value: Column, name: str, fold, merge) -> DataFrame:
+def _running(df, keys, order, slice_by, value: Column, name: str, fold, merge, hot_rows: int) -> DataFrame:
     keys = list(keys)
-    ranked = df.withColumn(_SLICE, slice_by).withColumn(name, value)
+    ranked = _sliced(df, keys, slice_by, hot_rows).withColumn(name, value)
     inside = (
         Window.partitionBy(*keys, _SLICE).orderBy(*_sorted(order, True)).rowsBetween(Window.unboundedPreceding, 0)
     )
     before = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        ranked.groupBy(*keys, _SLICE).agg(fold(name).alias(_EDGE)).withColumn(_EDGE, fold(_EDGE).over(before))
+        ranked.filter(F.col(_SLICE).isNotNull())
+        .groupBy(*keys, _SLICE)
+        .agg(fold(name).alias(_EDGE))
+        .withColumn(_EDGE, fold(_EDGE).over(before))
     )
     local = ranked.withColumn(name, fold(name).over(inside))
     return (
@@ -79,16 +100,17 @@ def _running(df, keys, order, slice_by, value: Column, name: str, fold, merge) -
 
 
 def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_by: Column,
-                  value: Column, name: str) -> DataFrame:
+                  value: Column, name: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Cumulative sum of `value` along `order`, current row included."""
     return _running(df, keys, order, slice_by, value, name, F.sum,
-                    lambda here, earlier: here + F.coalesce(earlier, F.lit(0)))
+                    lambda here, earlier: here + F.coalesce(earlier, F.lit(0)), hot_rows)
 
 
 def running_max(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_by: Column,
-                value: Column, name: str) -> DataFrame:
+                value: Column, name: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Largest `value` seen so far along `order`, current row included."""
-    return _running(df, keys, order, slice_by, value, name, F.max, lambda here, earlier: F.greatest(here, earlier))
+    return _running(df, keys, order, slice_by, value, name, F.max, lambda here, earlier: F.greatest(here, earlier),
+                    hot_rows)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
