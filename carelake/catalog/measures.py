@@ -85,9 +85,9 @@ def fraud_scores(t: Tables):
 
 
 @query("fraud_flags_of_day", _SCORED + """
-    SELECT claim_id, fraud_score, claim_date AS flag_date FROM scored WHERE fraud_score >= 5 AND claim_date = DATE '1998-06-15'""")
+    SELECT claim_id, fraud_score, claim_date AS flag_date FROM scored WHERE fraud_score >= 5 AND claim_date = DATE '1998-03-29'""")
 def fraud_flags_of_day(t: Tables):
-    return fraud.flags_of_day(fraud.flags(_scored(t)), "1998-06-15").select("claim_id", "fraud_score", "flag_date")
+    return fraud.flags_of_day(fraud.flags(_scored(t)), "1998-03-29").select("claim_id", "fraud_score", "flag_date")
 
 
 @query("fraud_f1", f"WITH {_F1} SELECT patient_id, procedure_code, claim_date, proc_count_7d FROM f1_groups WHERE proc_count_7d > 2")
@@ -124,7 +124,7 @@ def fraud_f4(t: Tables):
     WHERE (diagnosis_code = 'PROMO' AND procedure_code = 0) OR (diagnosis_code = 'SMALL' AND procedure_code = 3)""")
 def fraud_f5(t: Tables):
     claims = t.claims(diagnosis=True)
-    return claims.join(F.broadcast(fraud.pair_table(claims, PAIRS)), ["diagnosis_code", "procedure_code"], "left_semi").select(
+    return joins.join_dimension(claims, fraud.pair_table(claims, PAIRS), ["diagnosis_code", "procedure_code"], "left_semi").select(
         "claim_id", "diagnosis_code", "procedure_code")
 
 
@@ -212,11 +212,14 @@ def wastage_pct(t: Tables):
     SELECT CAST(collected_ts AS DATE) AS summary_date, hospital_code, order_type, count(*) AS total_tests,
            round(avg(tat_seconds) / 3600, 4) AS avg_tat_hours,
            count(*) FILTER (tat_seconds > CASE order_type WHEN 'STAT' THEN 3600 ELSE 14400 END) AS sla_breaches,
-           round(quantile_cont(tat_seconds, 0.95) / 3600, 4) AS p95_tat_hours
+           round(quantile_cont(tat_seconds, 0.95) / 3600, 4) AS p95_tat_hours,
+           count(*) FILTER (CASE test_code WHEN 'POTASSIUM' THEN result_value > CAST(6.5 AS DOUBLE) WHEN 'TROPONIN' THEN result_value > CAST(0.4 AS DOUBLE)
+                WHEN 'HEMOGLOBIN' THEN result_value < 6 WHEN 'PT_INR' THEN result_value > 5 WHEN 'GLUCOSE' THEN result_value < 40 END) AS critical_values_flagged
     FROM labs GROUP BY ALL""")
 def lab_tat_summary(t: Tables):
     labs = t.labs.withColumn("summary_date", F.to_date("collected_ts"))
-    return lab.turnaround_summary(labs, ["summary_date", "hospital_code"])
+    critical = lab.is_critical(F.col("test_code"), F.col("result_value"))
+    return lab.turnaround_summary(labs, ["summary_date", "hospital_code"], critical=critical)
 
 
 @query("lab_tat_shift", """
@@ -289,7 +292,7 @@ _BENCHMARK = [("1-URGENT", 3.0), ("2-HIGH", 4.0), ("3-MEDIUM", 4.5), ("5-LOW", 5
     SELECT dept_code, stays, avg_los_days, CAST(benchmark_days AS DOUBLE) AS benchmark_days,
            round(avg_los_days - CAST(benchmark_days AS DOUBLE), 4) AS variance_days FROM s LEFT JOIN b USING (dept_code)""")
 def los_vs_benchmark(t: Tables):
-    benchmark = t.spark.createDataFrame(_BENCHMARK, "dept_code string, benchmark_days double")
+    benchmark = joins.literal_table(t.spark, _BENCHMARK, "dept_code string, benchmark_days double")
     return kpi.stay_against_benchmark(t.admissions, benchmark, "dept_code")
 
 
@@ -345,3 +348,31 @@ def critical_stock(t: Tables):
     order = [F.col("current_stock"), F.col("drug_id")]
     return alerts.sample_text(alerts.sample_rows(low, order, 3), order,
                               F.concat("drug_name", F.lit(": qty="), F.col("current_stock").cast("string")))
+
+
+@query("adverse_event_latency", """
+    SELECT hospital_code, CAST(collected_ts AS DATE) AS event_date, count(*) AS reports, count(*) FILTER (tat_seconds <= 14400) AS in_time,
+           round(count(*) FILTER (tat_seconds <= 14400) / count(*) * 100, 2) AS in_time_pct
+    FROM labs WHERE test_code = 'TROPONIN' GROUP BY ALL""")
+def adverse_event_latency(t: Tables):
+    """Error events: reported within four hours of their occurrence."""
+    events = t.labs.filter(F.col("test_code") == "TROPONIN").withColumn("event_date", F.to_date("collected_ts"))
+    return lab.within(events, "collected_ts", "released_ts", 4 * 3600, ["hospital_code", "event_date"], "reports", "in_time")
+
+
+@query("kpi_daily_full", _SCORED + """,
+    patients_of AS (SELECT hospital_code, admission_date AS kpi_date, count(DISTINCT patient_id) AS total_patients, count(*) AS new_admissions FROM admissions GROUP BY ALL),
+    beds AS (SELECT hospital_code, count(DISTINCT device_id) AS icu_beds_total FROM vitals GROUP BY hospital_code),
+    used AS (SELECT hospital_code, CAST(event_ts AS DATE) AS kpi_date, count(DISTINCT device_id) AS icu_beds_occupied FROM vitals GROUP BY ALL),
+    icu AS (SELECT *, round(icu_beds_occupied / icu_beds_total * 100, 2) AS icu_utilization_pct FROM used JOIN beds USING (hospital_code)),
+    hits AS (SELECT c.hospital_code, s.claim_date AS kpi_date, count(*) AS n FROM scored s JOIN claims c USING (claim_id) WHERE fraud_score >= 5 GROUP BY ALL)
+    SELECT hospital_code, kpi_date, new_admissions, total_patients, icu_beds_occupied, icu_beds_total, icu_utilization_pct, coalesce(n, 0) AS fraud_flags_count
+    FROM patients_of LEFT JOIN icu USING (hospital_code, kpi_date) LEFT JOIN hits USING (hospital_code, kpi_date)""")
+def kpi_daily_full(t: Tables):
+    graded = grade_vitals(t.vitals)
+    beds = t.vitals.groupBy("hospital_code").agg(F.countDistinct("device_id").alias("icu_beds_total"))
+    flagged = _scored(t).filter(F.col("fraud_score") >= fraud.FLAG_SCORE).select("hospital_code", F.col("claim_date").alias("flag_date"))
+    full = kpi.full_summary(
+        kpi.daily_summary(t.admissions, t.claims(), graded), t.admissions, kpi.icu_utilisation(t.vitals, beds), flagged)
+    return full.select("hospital_code", "kpi_date", "new_admissions", "total_patients", "icu_beds_occupied", "icu_beds_total",
+                       "icu_utilization_pct", "fraud_flags_count")

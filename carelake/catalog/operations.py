@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from carelake.catalog.bindings import Tables
 from carelake.catalog.registry import query
 from carelake.operators import audit
+from carelake.operators.joins import literal_table
 from carelake.streaming.parse import grade_vitals
 
 
@@ -41,7 +42,7 @@ _SLA = [("1-URGENT", 1000), ("2-HIGH", 2000), ("3-MEDIUM", 3000)]
     FROM runs LEFT JOIN (VALUES ('1-URGENT', 1000), ('2-HIGH', 2000), ('3-MEDIUM', 3000)) AS s(pipeline_name, sla) USING (pipeline_name)
     WHERE duration_seconds > coalesce(s.sla, 3600)""")
 def sla_misses(t: Tables):
-    budgets = t.spark.createDataFrame(_SLA, "pipeline_name string, sla_seconds int")
+    budgets = literal_table(t.spark, _SLA, "pipeline_name string, sla_seconds int")
     return audit.over_budget(t.runs, budgets).select("run_id", "pipeline_name", "duration_seconds", "sla_seconds")
 
 

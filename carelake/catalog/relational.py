@@ -65,7 +65,7 @@ def join_left(t: Tables):
 def agg_join_back(t: Tables):
     claims = t.claims().select("claim_id", "physician_id", "claim_date")
     daily = claims.groupBy("physician_id", "claim_date").agg(F.count(F.lit(1)).alias("daily_proc_count"))
-    return claims.join(daily, ["physician_id", "claim_date"]).select("claim_id", "physician_id", "claim_date", "daily_proc_count")
+    return joins.join_summary(claims, daily, ["physician_id", "claim_date"], "inner").select("claim_id", "physician_id", "claim_date", "daily_proc_count")
 
 
 @query("fk_orphans", """

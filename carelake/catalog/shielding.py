@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from carelake.catalog.bindings import ORDERS_AS_OF, Tables
 from carelake.catalog.registry import query
 from carelake.functions import privacy
-from carelake.operators import governance, quality
+from carelake.operators import governance, joins, quality
 
 
 @query("hash_identifier", "SELECT patient_id, city, sha256(aadhaar_number) AS aadhaar_hash FROM patients")
@@ -131,6 +131,6 @@ _USERS = [("director.mdu", "MDU"), ("director.chn", "CHN"), ("regional.south", "
 @query("row_security", """
     SELECT admission_id, hospital_code, dept_code FROM admissions WHERE hospital_code IN ('CBE', 'TRV')""")
 def row_security(t: Tables):
-    mapping = t.spark.createDataFrame(_USERS, "user_name string, hospital_code string")
+    mapping = joins.literal_table(t.spark, _USERS, "user_name string, hospital_code string")
     return governance.visible_rows(t.admissions, mapping, "regional.south").select(
         "admission_id", "hospital_code", "dept_code")

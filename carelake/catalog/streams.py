@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from carelake.catalog.bindings import Tables, minutes
 from carelake.catalog.registry import query
+from carelake.operators.joins import literal_table
 from carelake.sources import sinks
 from carelake.streaming import parse, windows
 
@@ -76,8 +77,8 @@ def dlq_unified(t: Tables):
 def stream_lag(t: Tables):
     offsets = t.raw("events").groupBy(F.col("event_type").alias("topic"), (F.col("user_id") % 12).alias("partition")).agg(
         F.max("event_id").alias("end_offset"), F.max(F.when(F.col("value") < 100, F.col("event_id"))).alias("committed_offset"))
-    limits = t.spark.createDataFrame(
-        [("signup", 500), ("error", 200), ("click", 100), ("view", 2000), ("purchase", 5000)], "topic string, lag_limit int")
+    limits = literal_table(
+        t.spark, [("signup", 500), ("error", 200), ("click", 100), ("view", 2000), ("purchase", 5000)], "topic string, lag_limit int")
     return windows.consumer_lag(offsets, limits)
 
 

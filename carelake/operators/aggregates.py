@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from carelake.operators.joins import join_summary
+
 
 def grouping_totals(df: DataFrame, dims: Sequence[str], measures: Sequence[Column]) -> DataFrame:
     """Each dimension on its own plus the grand total, in one pass (GROUPING SETS).
@@ -54,7 +56,7 @@ def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, p: float, n
     wanted = bands.filter((F.col("_below") <= F.col("_hi")) & (F.col("_lo") < end))
     in_band = Window.partitionBy(*keys, "_band").orderBy("_v")
     ranked = (
-        counted.join(wanted, [*keys, "_band"])
+        join_summary(counted, wanted, [*keys, "_band"], "inner")
         .withColumn("_end", F.col("_below") + F.sum("_n").over(in_band))
         .withColumn("_start", F.col("_end") - F.col("_n"))
     )

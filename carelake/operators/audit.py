@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from carelake.operators.joins import join_dimension
 from carelake.operators.ordered import running_total
 
 AUDIT_SCHEMA = T.StructType([
@@ -57,11 +58,8 @@ def route_counts(routed: DataFrame, valid: str, by: Sequence[str] = ()) -> DataF
 
 def over_budget(log: DataFrame, budgets: DataFrame, name: str = "pipeline_name",
                 limit: int = RUNTIME_LIMIT_SECONDS) -> DataFrame:
-    """Runs longer than their pipeline's budget, or than the general limit where it has none.
-
-    `budgets` is a literal table of the pipelines, a handful of rows.
-    """
-    joined = log.join(F.broadcast(budgets), name, "left")
+    """Runs longer than their pipeline's budget, or than the general limit where it has none."""
+    joined = join_dimension(log, budgets, name)
     sla = F.coalesce(F.col("sla_seconds"), F.lit(limit))
     return joined.withColumn("sla_seconds", sla).filter(F.col("duration_seconds") > F.col("sla_seconds"))
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelake.operators.aggregates import trailing_days
-from carelake.operators.joins import recent_event_flag
+from carelake.operators.joins import join_dimension, join_summary, literal_table, recent_event_flag
 
 SCORES = {"f1": 3, "f2": 2, "f3": 2, "f4": 2, "f5": 3}
 FLAG_SCORE = 5
@@ -46,7 +46,7 @@ def pair_table(df: DataFrame, pairs: Sequence[tuple]) -> DataFrame:
     """Literal table of mismatching pairs, typed like the claim columns."""
     types = f"diagnosis_code {df.schema['diagnosis_code'].dataType.simpleString()}, " \
             f"procedure_code {df.schema['procedure_code'].dataType.simpleString()}"
-    return df.sparkSession.createDataFrame(list(pairs), types)
+    return literal_table(df.sparkSession, list(dict.fromkeys(pairs)), types)
 
 
 def flag_rules(claims: DataFrame, discharges: DataFrame, amount_limit: float = AMOUNT_LIMIT,
@@ -54,19 +54,19 @@ def flag_rules(claims: DataFrame, discharges: DataFrame, amount_limit: float = A
     """Add 0/1 columns f1..f5 and the score to every claim.
 
     `discharges` holds (patient_id, discharge_ts). F1 and F4 join only the breaching groups back, which are
-    few; F5 replicates a literal pair table.
+    few; F5 replicates a pair table written in code.
     """
     hot_procedures = repeated_procedures(claims).select(
         "patient_id", "procedure_code", "claim_date", F.lit(1).alias("f1"))
     hot_physicians = busy_physicians(claims, physician_limit).select(
         "physician_id", "claim_date", F.lit(1).alias("f4"))
-    mismatch = F.broadcast(pair_table(claims, pairs).distinct().withColumn("f5", F.lit(1)))
+    mismatch = pair_table(claims, pairs).withColumn("f5", F.lit(1))
     scored = recent_event_flag(claims, discharges, "patient_id", "submission_ts", "discharge_ts",
                                DISCHARGE_SECONDS, "f3")
+    scored = scored.join(hot_procedures, ["patient_id", "procedure_code", "claim_date"], "left")
+    scored = join_summary(scored, hot_physicians, ["physician_id", "claim_date"])
     scored = (
-        scored.join(hot_procedures, ["patient_id", "procedure_code", "claim_date"], "left")
-        .join(hot_physicians, ["physician_id", "claim_date"], "left")
-        .join(mismatch, ["diagnosis_code", "procedure_code"], "left")
+        join_dimension(scored, mismatch, ["diagnosis_code", "procedure_code"])
         .withColumn("f2", (amount_points(F.col("claim_amount"), amount_limit) > 0).cast("int"))
         .fillna(0, subset=["f1", "f2", "f4", "f5"])
     )

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carelake.operators.joins import join_dimension
+
 # Years until rows move to the archive and until they are deleted, per layer.
 RETENTION_YEARS = {"bronze": (3, 7), "silver": (3, 7), "gold": (3, None), "audit": (None, 10)}
 LANDING_DAYS = 14
@@ -19,7 +21,7 @@ def with_consent(df: DataFrame, consents: DataFrame, key: str) -> DataFrame:
 
 def erase(tables: Mapping[str, DataFrame], subjects: DataFrame, key: str) -> dict[str, DataFrame]:
     """Every table without the rows of the subjects; the caller writes them as new versions."""
-    gone = subjects.select(key).distinct()
+    gone = subjects.select(key)
     return {name: df.join(gone, key, "left_anti") for name, df in tables.items()}
 
 
@@ -49,6 +51,6 @@ def split_by_retention(df: DataFrame, day: str, as_of: Column, layer: str) -> di
 
 
 def visible_rows(df: DataFrame, mapping: DataFrame, user: str) -> DataFrame:
-    """Rows of the hospitals mapped to the user. A user's hospitals are few, so they are replicated."""
-    own = mapping.filter(F.col("user_name") == user).select("hospital_code").distinct()
-    return df.join(F.broadcast(own), "hospital_code", "left_semi")
+    """Rows of the hospitals mapped to the user."""
+    own = mapping.filter(F.col("user_name") == user).select("hospital_code")
+    return join_dimension(df, own, "hospital_code", "left_semi")

@@ -1,11 +1,12 @@
-"""Join shapes: size-checked broadcast, point-in-time, range-exists and orphan checks."""
+"""Join shapes: size-checked broadcast, summaries joined back, point-in-time, range-exists, orphan checks."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from carelake.functions.dates import in_interval
 
@@ -17,11 +18,33 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """Small table written in code. Unlike `createDataFrame`, its size is known to the optimizer."""
+    fields = T.StructType.fromDDL(schema).fields
+    if not rows:
+        return spark.createDataFrame([], T.StructType(fields))
+    entries = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]) for row in rows]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*entries)))
+
+
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left", limit: int = BROADCAST_BYTES) -> DataFrame:
     """Replicate the dimension while its estimated size is below `limit`; shuffle both sides beyond it."""
     return fact.join(F.broadcast(dim) if plan_bytes(dim) <= limit else dim, on, how)
 
 
+def join_summary(detail: DataFrame, summary: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join rows with an aggregate over the same keys (one row per key).
+
+    The keys are compared as one struct. An aggregate already lies partitioned by its keys, and the adaptive
+    skew split only applies when both sides of a join are shuffled for it; with the packed key they are, at
+    the price of moving the summary once more. NULL keys meet their own group.
+    """
+    names = {k: f"_key{i}" for i, k in enumerate(keys)}
+    other = summary.withColumnsRenamed(names)
+    packed = F.struct(*[detail[k] for k in keys]) == F.struct(*[other[n] for n in names.values()])
+    return detail.join(other, packed, how).drop(*names.values())
+
+
 def changed_rows(incoming: DataFrame, current: DataFrame, key: str, new_hash: str, old_hash: str) -> DataFrame:
     """Incoming rows whose key exists with a different hash."""
     known = current.select(F.col(key), F.col(old_hash))
@@ -80,7 +103,7 @@ def recent_event_flag(df: DataFrame, events: DataFrame, key: str, at: str, event
     flagged = df.withColumn("_at", own).withColumn("_bucket", F.floor(F.col("_at") / F.lit(seconds)))
     gap = F.exists("_events", lambda e: (F.col("_at") >= e) & (F.col("_at") - e < seconds))
     return (
-        flagged.join(known, [key, "_bucket"], "left")
+        join_summary(flagged, known, [key, "_bucket"])
         .withColumn(name, F.coalesce(gap, F.lit(False)).cast("int"))
         .drop("_at", "_bucket", "_events")
     )

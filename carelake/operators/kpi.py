@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from carelake.functions.clinical import rate_pct, ratio_or_zero
 from carelake.functions.dates import business_days, days_between
 from carelake.operators.aggregates import grouping_totals
+from carelake.operators.joins import join_dimension
 from carelake.operators.ordered import previous_values
 
 READMISSION_DAYS = 30
@@ -95,6 +96,23 @@ def daily_summary(admissions: DataFrame, claims: DataFrame, vitals: DataFrame) -
     })
 
 
+def full_summary(summary: DataFrame, admissions: DataFrame, icu: DataFrame, flagged: DataFrame) -> DataFrame:
+    """Daily summary with patients, ICU beds and fraud flags of the hospital and day.
+
+    `icu` comes from `icu_utilisation`, `flagged` holds (hospital_code, flag_date) of flagged claims.
+    """
+    on = ["hospital_code", "kpi_date"]
+    patients = admissions.groupBy("hospital_code", F.col("admission_date").alias("kpi_date")).agg(
+        F.countDistinct("patient_id").alias("total_patients"))
+    fraud = flagged.groupBy("hospital_code", F.col("flag_date").alias("kpi_date")).agg(
+        F.count(F.lit(1)).alias("fraud_flags_count"))
+    beds = icu.select(*on, "icu_beds_occupied", "icu_beds_total", "icu_utilization_pct")
+    return (
+        summary.join(patients, on, "left").join(beds, on, "left").join(fraud, on, "left")
+        .withColumn("fraud_flags_count", F.coalesce("fraud_flags_count", F.lit(0)))
+    )
+
+
 def readmission_rate(flagged: DataFrame) -> DataFrame:
     """Readmission share over all admissions."""
     return flagged.agg(
@@ -157,11 +175,11 @@ def rate_per_1000(df: DataFrame, by: Sequence[str], hit: Column, name: str = "ra
 
 
 def stay_against_benchmark(admissions: DataFrame, benchmark: DataFrame, key: str) -> DataFrame:
-    """Average stay per group and its difference from a literal benchmark table."""
+    """Average stay per group and its difference from the benchmark of the group."""
     stays = admissions.groupBy(key).agg(
         F.count("discharge_date").alias("stays"),
         F.avg(days_between(F.col("discharge_date"), F.col("admission_date"))).alias("avg_los_days"))
-    return stays.join(F.broadcast(benchmark), key, "left").withColumn(
+    return join_dimension(stays, benchmark, key).withColumn(
         "variance_days", F.round(F.col("avg_los_days") - F.col("benchmark_days"), 4))
 
 

@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carelake.operators.joins import join_summary
 from carelake.session import use_checkpoint_dir
 
 WEIGHTS = {"first": 0.20, "last": 0.20, "birth_date": 0.25, "phone6": 0.20, "id4": 0.15}
@@ -94,7 +95,7 @@ def match_links(fields: DataFrame) -> DataFrame:
         .filter("_n > 1")
         .drop("_n")
     )
-    linked = members.join(anchors, "_key").filter(F.col("a.record_id") != F.col("b.record_id"))
+    linked = join_summary(members, anchors, ["_key"], "inner").filter(F.col("a.record_id") != F.col("b.record_id"))
     scored = linked.select(
         F.col("a.record_id").alias("anchor_id"), F.col("b.record_id").alias("record_id"),
         _score("a", "b").alias("score"),
@@ -130,7 +131,7 @@ def assign_global_ids(fields: DataFrame, prefix: str = "UPMI-") -> DataFrame:
         step = nodes
         for n in names:
             least = nodes.groupBy(n).agg(F.min("label").alias(f"{n}_label"))
-            step = step.join(least, n)
+            step = join_summary(step, least, [n], "inner")
         spread = step.select(
             *names, F.least(*[f"{n}_label" for n in names]).alias("label"), F.col("label").alias("_before")
         ).checkpoint()

@@ -36,11 +36,8 @@ def classify_late(events: DataFrame, event_ts: str, arrival: Sequence[str], slic
 
 
 def consumer_lag(offsets: DataFrame, limits: DataFrame) -> DataFrame:
-    """Lag per topic over `(topic, partition, end_offset, committed_offset)` against its limit.
-
-    `limits` is a literal table with one row per topic.
-    """
+    """Lag per topic over `(topic, partition, end_offset, committed_offset)` against its limit."""
     behind = F.col("end_offset") - F.coalesce(F.col("committed_offset"), F.lit(0))
     lag = offsets.groupBy("topic").agg(F.sum(behind).alias("total_lag"))
-    return lag.join(F.broadcast(limits), "topic", "left").withColumn(
+    return lag.join(limits, "topic", "left").withColumn(
         "status", F.when(F.col("total_lag") > F.col("lag_limit"), "BREACH").otherwise("OK"))
