@@ -7,6 +7,9 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carelake.operators.joins import plan_bytes
+from carelake.session import fit_shuffle
+
 EVENTS_AS_OF = "2024-01-31"
 ORDERS_AS_OF = "2001-12-31"
 
@@ -51,9 +54,13 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._opened: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            fit_shuffle(self.spark, sum(plan_bytes(df) for df in self._opened.values()))
+        return self._opened[name]
 
     @cached_property
     def patients(self) -> DataFrame:

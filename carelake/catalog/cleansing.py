@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from carelake.catalog.bindings import Tables
 from carelake.catalog.registry import query
 from carelake.functions import clinical, dates, text
+from carelake.plans import layers
 
 
 @query("parse_two_formats", """
@@ -162,3 +163,14 @@ def record_hash(t: Tables):
     SELECT inventory_id, op, "offset" FROM changes WHERE op IN ('u', 'c')""")
 def filter_ops(t: Tables):
     return t.changes.filter(F.col("op").isin("u", "c")).select("inventory_id", "op", "offset")
+
+
+@query("silver_standard", """
+    SELECT event_id, ts - INTERVAL 330 MINUTE AS ts, coalesce(upper(trim(patient_mrn)), 'UNKNOWN') AS patient_mrn,
+           coalesce(heart_rate, -1) AS heart_rate, hospital_code, spo2
+    FROM vitals JOIN events USING (event_id)""")
+def silver_standard(t: Tables):
+    rows = t.vitals.select(
+        "event_id", F.col("event_ts").cast("timestamp").alias("ts"), F.concat(F.lit(" "), F.lower("patient_mrn")).alias("patient_mrn"),
+        "heart_rate", F.lower("hospital_code").alias("hospital_code"), "spo2")
+    return layers.standardised(rows, "Asia/Kolkata").withColumn("ts", F.col("ts").cast("timestamp_ntz"))

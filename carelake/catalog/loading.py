@@ -105,10 +105,10 @@ def wm_lookup(t: Tables):
 
 
 @query("wm_filter", """
-    SELECT admission_id, patient_id, admission_date FROM admissions WHERE admission_date > DATE '2000-06-30'""")
+    SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_orderdate > TIMESTAMP '2000-06-30 00:00:00'""")
 def wm_filter(t: Tables):
-    return incremental.after_mark(t.admissions, "admission_date", "2000-06-30").select(
-        "admission_id", "patient_id", "admission_date")
+    return incremental.after_mark(t.raw("orders"), "o_orderdate", "2000-06-30 00:00:00").select(
+        "o_orderkey", "o_custkey", "o_orderdate")
 
 
 @query("wm_lookback", """

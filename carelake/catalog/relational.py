@@ -188,9 +188,9 @@ def readmit_grouping_sets(t: Tables):
     return kpi.readmission_rates_by(enriched, _READMIT_DIMS)
 
 
-@query("pipeline_health", """
+@query("run_health", """
     SELECT pipeline_name, status, count(*) AS runs FROM runs GROUP BY pipeline_name, status""")
-def pipeline_health(t: Tables):
+def run_health(t: Tables):
     return t.runs.groupBy("pipeline_name", "status").agg(F.count(F.lit(1)).alias("runs"))
 
 

@@ -28,7 +28,15 @@ AUDIT_SCHEMA = T.StructType([
     T.StructField("error_message", T.StringType()),
 ])
 
+# Run-time limits in seconds, in general and per scheduled job.
 RUNTIME_LIMIT_SECONDS = 3600
+JOB_BUDGETS = [
+    ("bronze_batch_ingestion", 10800),
+    ("silver_transform", 7200),
+    ("gold_aggregation", 3600),
+    ("kafka_stream_monitor", 120),
+    ("data_quality_gate", 1800),
+]
 
 
 def audit_record(spark: SparkSession, *, pipeline: str, job: str, run_id: str, source: str, entity: str, read: int,

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelake.operators.aggregates import trailing_days
-from carelake.operators.joins import join_dimension, join_summary, literal_table, recent_event_flag
+from carelake.operators.joins import join_dimension, literal_table, recent_event_flag, settled
 
 SCORES = {"f1": 3, "f2": 2, "f3": 2, "f4": 2, "f5": 3}
 FLAG_SCORE = 5
@@ -53,18 +53,19 @@ def flag_rules(claims: DataFrame, discharges: DataFrame, amount_limit: float = A
                physician_limit: int = PHYSICIAN_DAILY_LIMIT, pairs: Sequence[tuple] = tuple(INVALID_PAIRS)) -> DataFrame:
     """Add 0/1 columns f1..f5 and the score to every claim.
 
-    `discharges` holds (patient_id, discharge_ts). F1 and F4 join only the breaching groups back, which are
-    few; F5 replicates a pair table written in code.
+    `discharges` holds (patient_id, discharge_ts). F1 and F4 settle the breaching groups first: they are few,
+    and while they stay under the size check the claims are not shuffled for them. F5 replicates a pair
+    table written in code. What remains is one shuffle of the claims, for F3.
     """
-    hot_procedures = repeated_procedures(claims).select(
-        "patient_id", "procedure_code", "claim_date", F.lit(1).alias("f1"))
-    hot_physicians = busy_physicians(claims, physician_limit).select(
-        "physician_id", "claim_date", F.lit(1).alias("f4"))
+    hot_procedures = settled(repeated_procedures(claims).select(
+        "patient_id", "procedure_code", "claim_date", F.lit(1).alias("f1")))
+    hot_physicians = settled(busy_physicians(claims, physician_limit).select(
+        "physician_id", "claim_date", F.lit(1).alias("f4")))
     mismatch = pair_table(claims, pairs).withColumn("f5", F.lit(1))
     scored = recent_event_flag(claims, discharges, "patient_id", "submission_ts", "discharge_ts",
                                DISCHARGE_SECONDS, "f3")
-    scored = scored.join(hot_procedures, ["patient_id", "procedure_code", "claim_date"], "left")
-    scored = join_summary(scored, hot_physicians, ["physician_id", "claim_date"])
+    scored = join_dimension(scored, hot_procedures, ["patient_id", "procedure_code", "claim_date"])
+    scored = join_dimension(scored, hot_physicians, ["physician_id", "claim_date"])
     scored = (
         join_dimension(scored, mismatch, ["diagnosis_code", "procedure_code"])
         .withColumn("f2", (amount_points(F.col("claim_amount"), amount_limit) > 0).cast("int"))

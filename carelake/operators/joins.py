@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelake.functions.dates import in_interval
+from carelake.session import use_checkpoint_dir
 
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -45,6 +47,18 @@ def join_summary(detail: DataFrame, summary: DataFrame, keys: Sequence[str], how
     return detail.join(other, packed, how).drop(*names.values())
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """The rows written to the shared checkpoint folder and read back, so that their size is known.
+
+    For results that are small by nature but whose size the optimizer cannot foresee, such as rule hits:
+    `join_dimension` can then replicate them instead of shuffling the large side.
+    """
+    spark = df.sparkSession
+    path = f"{use_checkpoint_dir(spark)}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def changed_rows(incoming: DataFrame, current: DataFrame, key: str, new_hash: str, old_hash: str) -> DataFrame:
     """Incoming rows whose key exists with a different hash."""
     known = current.select(F.col(key), F.col(old_hash))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from carelake.functions import privacy
+from carelake.functions import dates, privacy, text
 from carelake.operators import fraud, kpi, matching, scd
 from carelake.sources.readers import with_lineage
 
@@ -18,6 +21,17 @@ def bronze_patients(raw: DataFrame, mark: str, run_id: str, loaded_at: Column) -
     return with_lineage(fresh, "HIS-CHN", run_id, loaded_at)
 
 
+def standardised(df: DataFrame, zone: str, keep_case: Sequence[str] = ()) -> DataFrame:
+    """Silver rules in one projection: text trimmed and upper case, timestamps in UTC, NULL defaults."""
+    out = {}
+    for field in df.schema.fields:
+        if isinstance(field.dataType, T.StringType) and field.name not in keep_case:
+            out[field.name] = text.standardise(F.col(field.name))
+        elif isinstance(field.dataType, T.TimestampType):
+            out[field.name] = dates.to_utc(F.col(field.name), zone)
+    return text.null_defaults(df.withColumns(out) if out else df)
+
+
 def silver_patients(dim: DataFrame | None, bronze: DataFrame, load_date: str) -> DataFrame:
     """`dim_patient` after one load: newest row per patient, masked, typed version 2 history."""
     day = F.lit(load_date).cast("date")

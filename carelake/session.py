@@ -11,9 +11,14 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # State of stream deduplication and windows may outgrow executor memory.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
 }
 
+BYTES_PER_TASK = 128 * 1024 * 1024
+
 
 def build_session(master: str | None = None, app: str = "carelake", **extra: str) -> SparkSession:
     """Session with the engine's settings; `extra` overrides them (dots as double underscores)."""
@@ -26,6 +31,20 @@ def build_session(master: str | None = None, app: str = "carelake", **extra: str
     return builder.getOrCreate()
 
 
+def fit_shuffle(spark: SparkSession, input_bytes: int, bytes_per_task: int = BYTES_PER_TASK) -> int:
+    """Raise the number of shuffle partitions to what the input needs; it is never lowered.
+
+    The default of 200 gives partitions no task can hold once inputs reach terabytes. Small results are
+    coalesced again at run time.
+    """
+    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    needed = min(-(-input_bytes // bytes_per_task), 1_000_000)
+    if needed > now:
+        spark.conf.set("spark.sql.shuffle.partitions", str(needed))
+        return needed
+    return now
+
+
 def use_checkpoint_dir(spark: SparkSession) -> str:
     """Point `DataFrame.checkpoint()` at the folder the cluster names in `spark.checkpoint.dir`.
 

@@ -47,9 +47,11 @@ def current_version(spark: SparkSession, path: str) -> int | None:
     return json.loads(data)["version"]
 
 
-def replace_table(df: DataFrame, path: str, keep_schema: bool = False) -> int:
+def replace_table(df: DataFrame, path: str, keep_schema: bool = False, partition_by: Sequence[str] = ()) -> int:
     """Write `df` as the next version of the table and publish it.
 
+    Versioned dimensions are best partitioned by `is_current`, so that loads read closed history apart.
+
     The version being read is never touched, so `df` may be computed from it, and a failed write leaves the
     published version in place.
     """
@@ -58,7 +60,7 @@ def replace_table(df: DataFrame, path: str, keep_schema: bool = False) -> int:
     if keep_schema and now is not None:
         df = df.select(*[F.col(f.name).cast(f.dataType) for f in read_current(spark, path).schema.fields])
     version = 0 if now is None else now + 1
-    df.write.mode("overwrite").parquet(f"{path}/v={version:06d}")
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/v={version:06d}")
     fs, target, Path = _fs(spark, f"{path}/{POINTER}")
     draft = Path(f"{path}/{POINTER}.{version}")
     out = fs.create(draft, True)

@@ -130,3 +130,25 @@ def test_wastage(spark):
     df = spark.createDataFrame([(D(2024, 1, 10), 10.0), (D(2024, 3, 1), 990.0), (D(2024, 4, 1), 5.0)], "expiry_date date, stock_value double")
     out = {r["quarter"]: (r["wastage_pct"], r["breach"]) for r in pharmacy.wastage_by_quarter(df, F.lit("2024-01-31").cast("date")).collect()}
     assert out == {D(2024, 1, 1): (1.0, False), D(2024, 4, 1): (0.0, False)}
+
+
+def test_full_summary(spark):
+    day = D(2024, 1, 1)
+    summary = spark.createDataFrame([("CHN", day, 3), ("MDU", day, 1)], "hospital_code string, kpi_date date, new_admissions int")
+    adm = spark.createDataFrame([(1, "CHN", day), (1, "CHN", day), (2, "CHN", day), (3, "MDU", day)], "patient_id int, hospital_code string, admission_date date")
+    vitals = spark.createDataFrame([("CHN", i % 10, dt.datetime(2024, 1, 1, i)) for i in range(12)] + [("CHN", 10, dt.datetime(2024, 1, 2))],
+                                   "hospital_code string, device_id int, event_ts timestamp")
+    beds = vitals.groupBy("hospital_code").agg(F.countDistinct("device_id").alias("icu_beds_total"))
+    icu = kpi.icu_utilisation(vitals, beds)
+    flagged = spark.createDataFrame([("CHN", day), ("CHN", day)], "hospital_code string, flag_date date")
+    rows = {r["hospital_code"]: r for r in kpi.full_summary(summary, adm, icu, flagged).collect()}
+    c, m = rows["CHN"], rows["MDU"]
+    assert (c["total_patients"], c["icu_beds_occupied"], c["icu_beds_total"], c["icu_utilization_pct"], c["fraud_flags_count"]) == (2, 10, 11, 90.91, 2)
+    assert (m["total_patients"], m["icu_beds_occupied"], m["fraud_flags_count"]) == (1, None, 0)
+    assert {(r["kpi_date"].day, r["breach"]) for r in icu.collect()} == {(1, True), (2, False)}
+
+
+def test_silver_rules(spark):
+    df = spark.createDataFrame([(" ab ", None, dt.datetime(2024, 1, 1, 5, 30), "Keep", None)], "a string, b string, t timestamp, k string, n int")
+    r = layers.standardised(df, "Asia/Kolkata", keep_case=["k"]).first()
+    assert tuple(r) == ("AB", "UNKNOWN", dt.datetime(2024, 1, 1), "Keep", -1)

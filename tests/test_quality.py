@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from carelake.operators.joins import literal_table
 from carelake.operators import alerts, audit, governance, incremental, quality
 
 
@@ -167,7 +168,7 @@ def test_audit_record_and_budget(spark):
                              status="SUCCESS", start=start, end=start + dt.timedelta(seconds=90)).first()
     assert (row["duration_seconds"], row["error_message"]) == (90, "")
     log = spark.createDataFrame([("a", 100), ("a", 50), ("b", 4000), ("b", 3600)], "pipeline_name string, duration_seconds long")
-    budgets = spark.createDataFrame([("a", 60)], "pipeline_name string, sla_seconds int")
+    budgets = literal_table(spark, [("a", 60), *audit.JOB_BUDGETS], "pipeline_name string, sla_seconds int")
     assert sorted((r["pipeline_name"], r["duration_seconds"]) for r in audit.over_budget(log, budgets).collect()) == [("a", 100), ("b", 4000)]
 
 

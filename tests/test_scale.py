@@ -116,3 +116,33 @@ def test_checkpoint_folder_follows_the_setting(spark):
     folder = use_checkpoint_dir(spark)
     wanted = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert wanted is None or folder.split(":")[-1].startswith(wanted.split(":")[-1])
+
+
+def test_rule_hits_do_not_shuffle_the_claims(spark, tables):
+    """Scoring shuffles the claims once, for the discharge lookup; rule hits are replicated."""
+    from carelake.catalog import QUERIES
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = QUERIES["fraud_scores"](spark, tables.folder)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Two joins build the claims of the test tables, one is the discharge lookup.
+    assert text.count("SortMergeJoin") == 3
+    assert text.count("BroadcastHashJoin") == 3
+
+
+def test_settled_rows_have_a_known_size(spark):
+    out = joins.settled(spark.range(10).withColumn("x", F.lit("a")))
+    assert out.count() == 10 and joins.plan_bytes(out) < 10**5
+
+
+def test_shuffle_partitions_only_grow(spark):
+    from carelake.session import fit_shuffle
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert fit_shuffle(spark, 1000) == int(before)
+        assert fit_shuffle(spark, 100 * 2**40) == 819200
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
