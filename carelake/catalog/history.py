@@ -47,6 +47,15 @@ def scd2_apply(t: Tables):
     return scd.apply_type2(_dimension(t), _delta(t), "person_id", ["city", "plan"], F.lit(ORDERS_AS_OF).cast("date"))
 
 
+@query("scd2_counts", """
+    SELECT (SELECT count(*) FROM supplier) AS new_keys, count(*) FILTER (c_acctbal < 0) AS expired_rows,
+           2 * count(*) + count(*) FILTER (c_acctbal < 0) + (SELECT count(*) FROM supplier) AS total_rows
+    FROM customer""")
+def scd2_counts(t: Tables):
+    as_of = F.lit(ORDERS_AS_OF).cast("date")
+    return scd.load_counts(scd.apply_type2(_dimension(t), _delta(t), "person_id", ["city", "plan"], as_of), as_of)
+
+
 def _dimension(t: Tables):
     """A dimension with closed history and one current row per patient."""
     base = t.patients.select(F.col("global_patient_id").alias("person_id"), "city", F.col("insurance_plan_id").alias("plan"))

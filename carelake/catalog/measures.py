@@ -210,9 +210,9 @@ def wastage_pct(t: Tables):
 
 @query("lab_tat_summary", """
     SELECT CAST(collected_ts AS DATE) AS summary_date, hospital_code, order_type, count(*) AS total_tests,
-           round(avg(tat_seconds) / 3600, 4) AS avg_tat_hours,
+           round(avg(tat_seconds) / 3600, 6) AS avg_tat_hours,
            count(*) FILTER (tat_seconds > CASE order_type WHEN 'STAT' THEN 3600 ELSE 14400 END) AS sla_breaches,
-           round(quantile_cont(tat_seconds, 0.95) / 3600, 4) AS p95_tat_hours,
+           round(quantile_cont(tat_seconds, 0.95) / 3600, 6) AS p95_tat_hours,
            count(*) FILTER (CASE test_code WHEN 'POTASSIUM' THEN result_value > CAST(6.5 AS DOUBLE) WHEN 'TROPONIN' THEN result_value > CAST(0.4 AS DOUBLE)
                 WHEN 'HEMOGLOBIN' THEN result_value < 6 WHEN 'PT_INR' THEN result_value > 5 WHEN 'GLUCOSE' THEN result_value < 40 END) AS critical_values_flagged
     FROM labs GROUP BY ALL""")

@@ -146,11 +146,11 @@ def physician_daily(t: Tables):
 
 
 @query("p95_tat", """
-    SELECT hospital_code, order_type, round(quantile_cont(tat_seconds, 0.95) / 3600, 4) AS p95_tat_hours
+    SELECT hospital_code, order_type, round(quantile_cont(tat_seconds, 0.95) / 3600, 6) AS p95_tat_hours
     FROM labs GROUP BY hospital_code, order_type""")
 def p95_tat(t: Tables):
     p95 = aggregates.exact_percentile(t.labs, ["hospital_code", "order_type"], "tat_seconds", 0.95, "p95", width=600)
-    return p95.select("hospital_code", "order_type", F.round(F.col("p95") / 3600, 4).alias("p95_tat_hours"))
+    return p95.select("hospital_code", "order_type", F.round(F.col("p95") / 3600, 6).alias("p95_tat_hours"))
 
 
 def _sets_sql(dims, body, view):

@@ -19,11 +19,20 @@ VALUE_PATTERNS = {
     "identifier_12": r"\b[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}\b",
 }
 
+# Text every match of a pattern must contain; rows without it skip the expression.
+PATTERN_MARKS = {"email": "@"}
+
 
 def hash_value(col: Column) -> Column:
     return F.sha2(col.cast("string"), 256)
 
 
+def holds_pattern(col: Column, name: str, pattern: str) -> Column:
+    """Whether the text holds a match of the named pattern."""
+    found = col.rlike(pattern)
+    return col.contains(PATTERN_MARKS[name]) & found if name in PATTERN_MARKS else found
+
+
 def mask_phone_prefix(col: Column) -> Column:
     """First six digits hidden: `9841012345` -> `XXXXXX2345`."""
     return F.regexp_replace(col, r"^\d{6}", "XXXXXX")

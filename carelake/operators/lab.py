@@ -53,12 +53,12 @@ def turnaround_summary(labs: DataFrame, by: Sequence[str], order_type: str = "or
     late = F.col("tat_seconds") > sla_hours(F.col(order_type)) * 3600
     base = labs.groupBy(*keys).agg(
         F.count("tat_seconds").alias("total_tests"),
-        F.round(F.avg("tat_seconds") / 3600, 4).alias("avg_tat_hours"),
+        F.round(F.avg("tat_seconds") / 3600, 6).alias("avg_tat_hours"),
         F.count_if(late).alias("sla_breaches"),
         F.count_if(F.lit(False) if critical is None else critical).alias("critical_values_flagged"),
     )
     p95 = exact_percentile(labs, keys, "tat_seconds", 0.95, "_p95", width=600)
-    return join_summary(base, p95, keys).withColumn("p95_tat_hours", F.round(F.col("_p95") / 3600, 4)).drop("_p95")
+    return join_summary(base, p95, keys).withColumn("p95_tat_hours", F.round(F.col("_p95") / 3600, 6)).drop("_p95")
 
 
 def breaches_by_shift(labs: DataFrame, dept: str, collected: str, order_type: str = "order_type") -> DataFrame:

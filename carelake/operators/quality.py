@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from carelake.functions.privacy import FORBIDDEN_COLUMNS, VALUE_PATTERNS
+from carelake.functions.privacy import FORBIDDEN_COLUMNS, VALUE_PATTERNS, holds_pattern
 
 SEVERITY_RANK = {"INFO": 1, "WARNING": 2, "CRITICAL": 3}
 
@@ -142,7 +142,7 @@ def value_scan(df: DataFrame, table: str, columns: Sequence[str] | None = None,
     """Rows per text column and pattern that hold personal data; one scan for all of them."""
     texts = list(columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)])
     pairs = [(c, p) for c in texts for p in patterns]
-    totals = df.agg(*[F.count_if(F.col(c).rlike(patterns[p])).alias(f"_n{i}") for i, (c, p) in enumerate(pairs)])
+    totals = df.agg(*[F.count_if(holds_pattern(F.col(c), p, patterns[p])).alias(f"_n{i}") for i, (c, p) in enumerate(pairs)])
     rows = [[F.lit(table), F.lit(c), F.lit(p), F.col(f"_n{i}")] for i, (c, p) in enumerate(pairs)]
     return _unpivot(totals, rows, ["table_name", "column_name", "pattern", "hits"])
 

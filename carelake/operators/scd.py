@@ -81,6 +81,13 @@ def apply_type2(dim: DataFrame, delta: DataFrame, key: str, tracked: Sequence[st
     return history.select(*dim.columns).unionByName(touched)
 
 
+def load_counts(dim: DataFrame, as_of: Column) -> DataFrame:
+    """Brand-new keys, changed keys and rows after a load of the day, from one pass over the result."""
+    opened = F.count_if((F.col("eff_start_date") == as_of) & (F.col("is_current") == 1))
+    expired = F.count_if(F.col("eff_end_date") == as_of)
+    return dim.agg((opened - expired).alias("new_keys"), expired.alias("expired_rows"), F.count(F.lit(1)).alias("total_rows"))
+
+
 def apply_type3(dim: DataFrame, delta: DataFrame, key: str, column: str, as_of: Column) -> DataFrame:
     """Keep current and previous value: `current_<c>`, `previous_<c>`, `<c>_changed_at`."""
     cur, prev, at = f"current_{column}", f"previous_{column}", f"{column}_changed_at"
