@@ -15,8 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelake.operators.joins import join_summary
-from carelake.session import use_checkpoint_dir
+from carelake.operators.joins import join_summary, settled
 
 WEIGHTS = {"first": 0.20, "last": 0.20, "birth_date": 0.25, "phone6": 0.20, "id4": 0.15}
 NAME_KEY_WEIGHT = 0.15
@@ -117,25 +116,22 @@ def assign_global_ids(fields: DataFrame, prefix: str = "UPMI-") -> DataFrame:
     """`(record_id, global_patient_id)`: records connected by MERGE links share one id.
 
     Records that agree on both merge keys are collapsed first. Labels then travel between groups of the two
-    keys until none changes: per round one aggregate and one equi join per key, and a checkpoint to cut the
-    lineage. A record that lacks a field of a rule stands alone for that rule.
+    keys until none changes: per round one aggregate and one equi join per key. Each round ends in a table in
+    the shared checkpoint folder, which cuts the lineage and, unlike a checkpoint, also the constraints the
+    optimizer would carry from round to round. A record that lacks a field of a rule stands alone for that rule.
     """
-    spark = fields.sparkSession
-    use_checkpoint_dir(spark)
     names = ["_k0", "_k1"]
     own = F.array(F.lit("single"), F.col("record_id").cast("string"))
     keyed = fields.select("record_id", *[
         F.coalesce(_rule_key(i, rule), own).alias(n) for i, (n, rule) in enumerate(zip(names, MERGE_RULES))])
-    nodes = keyed.groupBy(*names).agg(F.min("record_id").alias("label")).checkpoint()
+    nodes = settled(keyed.groupBy(*names).agg(F.min("record_id").alias("label")))
     while True:
-        step = nodes
+        step = nodes.withColumnRenamed("label", "_before").withColumn("label", F.col("_before"))
         for n in names:
-            least = nodes.groupBy(n).agg(F.min("label").alias(f"{n}_label"))
-            step = join_summary(step, least, [n], "inner")
-        spread = step.select(
-            *names, F.least(*[f"{n}_label" for n in names]).alias("label"), F.col("label").alias("_before")
-        ).checkpoint()
-        nodes = spread.drop("_before")
+            least = step.groupBy(n).agg(F.min("label").alias("_least"))
+            step = join_summary(step, least, [n], "inner").drop("label").withColumnRenamed("_least", "label")
+        spread = settled(step)
+        nodes = spread.select(*names, "label")
         if spread.filter(F.col("label") != F.col("_before")).isEmpty():
             break
     found = keyed.join(nodes, names)
