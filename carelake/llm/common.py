@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +53,21 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="llm-")
 
 
+_SHIPPED: set[str] = set()
+
+
+def arrow(df: DataFrame, work: Callable, schema: str) -> DataFrame:
+    """`mapInArrow`, once this package is on the executors as an archive of its sources."""
+    sc = df.sparkSession.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parents[1]
+        folder = tempfile.mkdtemp(prefix="llm-sources-")  # the driver serves the archive as long as it runs
+        shutil.copytree(package, f"{folder}/src/{package.name}", ignore=shutil.ignore_patterns("__pycache__"))
+        sc.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", f"{folder}/src"))
+        _SHIPPED.add(sc.applicationId)
+    return df.mapInArrow(work, schema)
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows that no classifier learns from."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))

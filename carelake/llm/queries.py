@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.llm import mixing, rules, urls
+from carelake.llm import dart, mixing, rules, suffixes, tokens, urls
 from carelake.llm.common import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,10 +16,29 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def vocabulary() -> str:
+    """Place of the tokenizer's file; the package that brings it is installed beside the library on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op2_redirect_equivalence(spark: SparkSession, folder: str) -> DataFrame:
     return urls.decided(table(spark, folder, "pages"), urls.rule_table(spark), Scratch(spark, "op2"))
 
 
+def op3_sparse_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.shared_passages(table(spark, folder, "documents"), Scratch(spark, "op3"))
+
+
+def op4_token_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.digest(table(spark, folder, "documents"), Scratch(spark, "op4"), vocabulary())
+
+
+def op5_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return dart.grouped(table(spark, folder, "documents"), Scratch(spark, "op5"))
+
+
 def op6_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.digest(table(spark, folder, "documents"), Scratch(spark, "op6"))
 
@@ -29,7 +48,7 @@ def op7_rule_ledger(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_redirect_equivalence, op6_curriculum_mix, op7_rule_ledger)}
+    op2_redirect_equivalence, op3_sparse_suffix_array, op4_token_blocks, op5_dart_minhash, op6_curriculum_mix, op7_rule_ledger)}
 
 ORACLES: dict[str, str] = {
     "op2_redirect_equivalence": urls.SQL,
