@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.llm import dart, mixing, rules, suffixes, tokens, urls
+from carelake.llm import dart, decontam, mixing, rules, suffixes, tokens, urls
 from carelake.llm.common import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,8 +47,13 @@ def op7_rule_ledger(spark: SparkSession, folder: str) -> DataFrame:
     return rules.digest(table(spark, folder, "documents"))
 
 
+def op8_simhash_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.found(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_redirect_equivalence, op3_sparse_suffix_array, op4_token_blocks, op5_dart_minhash, op6_curriculum_mix, op7_rule_ledger)}
+    op2_redirect_equivalence, op3_sparse_suffix_array, op4_token_blocks, op5_dart_minhash, op6_curriculum_mix, op7_rule_ledger,
+    op8_simhash_windows)}
 
 ORACLES: dict[str, str] = {
     "op2_redirect_equivalence": urls.SQL,
