@@ -94,7 +94,8 @@ def decided(pages: DataFrame, rules: DataFrame, scratch: Scratch) -> DataFrame:
         F.max(F.col("verdict") == "allow").alias("allowed"))
     taken = groups.join(said, "component").select(
         "host", "path", F.when(F.col("allowed"), "allow").otherwise("block").alias("said"))
-    out = rows.join(known, ["host", "path"], "left").join(taken, ["host", "path"], "left")
+    # Both sides grow with the pages; small files would pass for a side to broadcast.
+    out = rows.join(known.hint("merge"), ["host", "path"], "left").join(taken.hint("merge"), ["host", "path"], "left")
     return out.select("page_id", "host", "path", "rule",
                       F.coalesce("verdict", "said", F.lit("allow")).alias("verdict"))
 
