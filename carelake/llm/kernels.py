@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 
 U64 = np.uint64
 _TABLE = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) * U64(2) + U64(1)
@@ -150,4 +150,4 @@ def text_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").split()
 
 
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")

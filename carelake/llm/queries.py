@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.llm import dart, decontam, mixing, rules, suffixes, tokens, urls
+from carelake.llm import dart, decontam, langid, mixing, rules, suffixes, tokens, trees, urls
 from carelake.llm.common import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,9 +51,19 @@ def op8_simhash_windows(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.found(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op9_string_kernel(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return langid.predicted(docs, langid.learn(docs))
+
+
+def op10_boosted_trees(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return trees.scored(docs, trees.learn(docs, table(spark, folder, "labels")))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op2_redirect_equivalence, op3_sparse_suffix_array, op4_token_blocks, op5_dart_minhash, op6_curriculum_mix, op7_rule_ledger,
-    op8_simhash_windows)}
+    op8_simhash_windows, op9_string_kernel, op10_boosted_trees)}
 
 ORACLES: dict[str, str] = {
     "op2_redirect_equivalence": urls.SQL,
