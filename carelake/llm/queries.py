@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.llm import dart, decontam, langid, mixing, rules, suffixes, tokens, trees, urls
+from carelake.llm import dart, decontam, extract, langid, mixing, rules, suffixes, tokens, trees, urls
 from carelake.llm.common import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_page_difference(spark: SparkSession, folder: str) -> DataFrame:
+    return extract.main_text(table(spark, folder, "pages"), Scratch(spark, "op1"))
+
+
 def op2_redirect_equivalence(spark: SparkSession, folder: str) -> DataFrame:
     return urls.decided(table(spark, folder, "pages"), urls.rule_table(spark), Scratch(spark, "op2"))
 
@@ -62,9 +66,17 @@ def op10_boosted_trees(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_redirect_equivalence, op3_sparse_suffix_array, op4_token_blocks, op5_dart_minhash, op6_curriculum_mix, op7_rule_ledger,
+    op1_page_difference, op2_redirect_equivalence, op3_sparse_suffix_array, op4_token_blocks, op5_dart_minhash, op6_curriculum_mix, op7_rule_ledger,
     op8_simhash_windows, op9_string_kernel, op10_boosted_trees)}
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
+
+
+QUERIES["pipeline"] = pipeline
+
 ORACLES: dict[str, str] = {
     "op2_redirect_equivalence": urls.SQL,
     "op6_curriculum_mix": mixing.SQL,
