@@ -13,7 +13,8 @@ buckets (a pair of similarity 0.8 shares none of them with probability 7e-6); in
   2. where members are still in different groups, with the least member of each other group,
   3. and the pairs between groups that remain one by one,
 so a group is never compared with itself and no pair that could join two groups is left out. Candidates count as linked
-if the exact weighted Jaccard similarity of their shingles is at least `SIMILARITY`. Groups are connected components.
+if the exact weighted Jaccard similarity of their shingles is at least `SIMILARITY`; it is not computed where fewer than
+`AGREEING` of the coordinates agree, five deviations below what that similarity gives. Groups are connected components.
 
 Null texts count as empty; texts without a word have no shingle and are in a class only with equal texts. Rows with a
 null id are left out, as they cannot be named. Repeated ids with different texts link those texts' classes. An empty
@@ -36,6 +37,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 30
 ROWS = 5
+AGREEING = 0.64
 
 _STEP = U64(0x9E3779B97F4A7C15)
 _SIDE = U64(0xD6E8FEB86659FD93)
@@ -96,27 +98,38 @@ def bands(signature: np.ndarray, n_bands: int, rows: int) -> np.ndarray:
 
 
 def sketched(docs: DataFrame, n_bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """`doc_id`, `text_a`, `text_b` (128-bit hash of the text) and `buckets`; null for a text without a word."""
+    """`doc_id`, `text_a`, `text_b` (128-bit hash of the text) and `darts`; null for a text without a word."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for run in pieces(batch, "text", 4 << 20):
                 w = words(run.column("text"))
                 values, offsets = shingles(w, SHINGLE)
-                buckets = bands(signatures(values, offsets, n_bands * rows), n_bands, rows)
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.arange(run.num_rows + 1, dtype=np.int32) * n_bands), pa.array(buckets.ravel()))
-                lists = pa.array([None if c == 0 else x for c, x in zip(w.counts, lists.to_numpy(zero_copy_only=False),
-                                 strict=True)], pa.list_(pa.int64())) if (w.counts == 0).any() else lists
+                kept_darts = signatures(values, offsets, n_bands * rows).astype("<u4")
                 yield pa.RecordBatch.from_arrays(
-                    [run.column("doc_id"), run.column("text_a"), run.column("text_b"), lists],
-                    names=["doc_id", "text_a", "text_b", "buckets"])
+                    [run.column("doc_id"), run.column("text_a"), run.column("text_b"),
+                     pa.array([d.tobytes() if n else None for d, n in zip(kept_darts, w.counts, strict=True)], pa.binary())],
+                    names=["doc_id", "text_a", "text_b", "darts"])
 
     text = F.coalesce(F.col("text"), F.lit(""))
     rows_in = docs.where("doc_id is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
         F.xxhash64(text).alias("text_a"), F.xxhash64(F.lit("b"), text).alias("text_b"))
-    return arrow(rows_in, sketch, "doc_id long, text_a long, text_b long, buckets array<bigint>")
+    return arrow(rows_in, sketch, "doc_id long, text_a long, text_b long, darts binary")
+
+
+def banded(sketches: DataFrame, n_bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """`doc_id` and `bucket`, a row for each band."""
+
+    def band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for run in pieces(batch, "darts", 1 << 20):
+                kept_darts = np.frombuffer(b"".join(run.column("darts").to_pylist()), "<u4").reshape(-1, n_bands * rows)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.repeat(run.column("doc_id").to_numpy(), n_bands)),
+                    pa.array(bands(kept_darts.astype(U64), n_bands, rows).ravel())], names=["doc_id", "bucket"])
+
+    return arrow(sketches.where("darts is not null").select("doc_id", "darts"), band, "doc_id long, bucket long")
 
 
 def similar(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -129,19 +142,22 @@ def similar(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> Da
         last, of_last = None, np.zeros(0, U64)
         for batch in batches:
             keep = []
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            left, right = batch.column("text_of_a"), batch.column("text_of_b")
+            ids = batch.column("a").to_pylist()
+            darts_a, darts_b = batch.column("darts_of_a").to_pylist(), batch.column("darts_of_b").to_pylist()
             for i in range(batch.num_rows):
-                if a[i] != last:
-                    last, of_last = a[i], one(left[i].as_py())
-                if weighted_jaccard(of_last, one(right[i].as_py())) >= least:
+                same = np.frombuffer(darts_a[i], "<u4") == np.frombuffer(darts_b[i], "<u4")
+                if same.mean() < AGREEING * least / SIMILARITY:
+                    continue
+                if ids[i] != last:
+                    last, of_last = ids[i], one(batch.column("text_of_a")[i].as_py())
+                if weighted_jaccard(of_last, one(batch.column("text_of_b")[i].as_py())) >= least:
                     keep.append(i)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())], names=["a", "b"])
+            yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_of_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_of_b"))
-    both = pairs.join(right, "b").join(left, "a").select("a", "b", "text_of_a", "text_of_b")
+    left, right = (texts.select(F.col("doc_id").alias(s), F.col("text").alias(f"text_of_{s}"),
+                                F.col("darts").alias(f"darts_of_{s}")) for s in ("a", "b"))
+    both = pairs.join(right, "b").join(left, "a").select(
+        "a", "b", "text_of_a", "text_of_b", "darts_of_a", "darts_of_b")
     return arrow(both, check, "a long, b long")
 
 
@@ -154,16 +170,19 @@ def grouped(docs: DataFrame, scratch: Scratch, n_bands: int = BANDS, rows: int =
         sketches.select("doc_id", "text_a", "text_b").join(classes, ["text_a", "text_b"]).select("doc_id", "copy_of"),
         "members")
     # Sketches of equal texts are equal, so it is enough to keep those of the documents that stand for their text.
-    entries = sketches.where("buckets is not null").join(
-        classes.select(F.col("copy_of").alias("doc_id"), "text_a", "text_b"), ["doc_id", "text_a", "text_b"], "left_semi"
-    ).select("doc_id", F.explode("buckets").alias("bucket"))
+    first_of = sketches.join(
+        classes.select(F.col("copy_of").alias("doc_id"), "text_a", "text_b"), ["doc_id", "text_a", "text_b"], "left_semi")
+    entries = banded(first_of, n_bands, rows)
     shared = entries.groupBy("bucket").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     inside = scratch.keep(
         entries.join(shared.where("first <> last"), "bucket").select("bucket", "doc_id", "first"), "buckets")
+    wanted = inside.select("doc_id").distinct()
+    text = F.coalesce(F.col("text"), F.lit(""))
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_a"))
+    known = sketches.join(wanted, "doc_id", "left_semi").where("darts is not null").dropDuplicates(["doc_id"])
+    texts = scratch.keep(named.join(known, ["doc_id", "text_a"]).dropDuplicates(["doc_id"]).select(
+        "doc_id", "text", "darts"), "texts")
     scratch.drop("sketches")
-    texts = scratch.keep(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(
-            inside.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
 
     def groups(links: DataFrame, step: int) -> DataFrame:
         """Members of unfinished buckets with their present group."""
@@ -192,7 +211,7 @@ def grouped(docs: DataFrame, scratch: Scratch, n_bands: int = BANDS, rows: int =
     third = each.join(against, "bucket").where("g_a <> g_b and a < b").select("a", "b").distinct().join(
         seen, ["a", "b"], "left_anti")
     links = scratch.keep(similar(third, texts, least).union(links), "links-3")
-    scratch.drop("texts", "buckets", "open-1", "open-2")
+    scratch.drop("texts", "buckets")
     # A repeated id holds the classes of its texts together.
     again = member.groupBy("doc_id").agg(F.min("copy_of").alias("a"), F.max("copy_of").alias("b")).where("a <> b")
     of = connected_components(links.union(again.select("a", "b")), scratch, "groups-3")

@@ -28,13 +28,13 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, offsets) of a text column; a null is empty."""
+    """(bytes, offsets) of a text or binary column; a null is empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     if texts.null_count:
         texts = texts.fill_null("")
-    wide = pa.types.is_large_string(texts.type)
-    if not wide and not pa.types.is_string(texts.type):
+    wide = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
+    if not wide and not pa.types.is_string(texts.type) and not pa.types.is_binary(texts.type):
         texts, wide = texts.cast(pa.large_string()), True
     _, offsets, data = texts.buffers()
     if len(texts) == 0:
