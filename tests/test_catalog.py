@@ -4,7 +4,8 @@ import re
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from carelake.catalog import ORACLES, QUERIES
 from tools.compare import compare, duck
 
 SMALL = "/root/testdata/sf0.001"
@@ -15,9 +16,9 @@ def con():
     return duck(SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_its_sql(spark, con, name):
-    line = compare(spark, con, SMALL, name, queries()[name], oracle_sql().get(name))
+    line = compare(spark, con, SMALL, name, QUERIES[name], ORACLES.get(name))
     assert line.startswith(("ok", "rows")), line
 
 
@@ -25,15 +26,15 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_or_nested_loop_join(spark, name):
-    text = plan(queries()[name](spark, SMALL))
+    text = plan(QUERIES[name](spark, SMALL))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "PythonUDF" not in text and "ArrowEvalPython" not in text
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry_is_the_daily_summary(spark):
@@ -42,12 +43,12 @@ def test_entry_is_the_daily_summary(spark):
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    text = plan(queries()["scan_parquet"](spark, SMALL))
+    text = plan(QUERIES["scan_parquet"](spark, SMALL))
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(o_orderdate", text)
     assert re.search(r"ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderdate:timestamp_ntz>", text)
 
 
 def test_claim_counts_do_not_join(spark):
     """Measures that need no patient or diagnosis read one table."""
-    text = plan(queries()["denial_rate"](spark, SMALL))
+    text = plan(QUERIES["denial_rate"](spark, SMALL))
     assert "Join" not in text and text.count("FileScan") >= 1
