@@ -165,11 +165,14 @@ def shared_passages(docs: DataFrame, scratch: Scratch, least: int = LEAST, run:
     suffixes = scratch.keep(sampled_suffixes(rows, least, run), "suffixes")
     near = scratch.keep(agreeing(suffixes), "agreeing")
     scratch.drop("suffixes")
+    # Kept apart, so that both sides of the join are plain exchanges, of which a hot partition can be split.
     twice = near.groupBy("key").agg(F.min("text_a").alias("lo"), F.max("text_a").alias("hi")).where("lo <> hi")
-    matches = near.join(twice.select("key"), "key", "left_semi").groupBy("text_a").agg(
+    twice = scratch.keep(twice.select("key"), "keys")
+    matches = near.join(twice, "key", "left_semi").groupBy("text_a").agg(
         F.min("doc_id").alias("doc_id"), F.collect_set("at").alias("places"))
     found = scratch.keep(windows(matches, rows, least, run), "windows")
     common = found.groupBy("print").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi")
+    common = scratch.keep(common, "prints")
     starts = found.join(common, "print").select(
         "doc_id", "start", F.when(F.col("lo") == F.col("doc_id"), F.col("hi")).otherwise(F.col("lo")).alias("other"))
     passages = scratch.keep(spans(starts, least), "spans")
