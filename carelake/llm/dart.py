@@ -174,8 +174,10 @@ def grouped(docs: DataFrame, scratch: Scratch, n_bands: int = BANDS, rows: int =
         classes.select(F.col("copy_of").alias("doc_id"), "text_a", "text_b"), ["doc_id", "text_a", "text_b"], "left_semi")
     entries = banded(first_of, n_bands, rows)
     shared = entries.groupBy("bucket").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    # Kept apart, so that both sides of the join are plain exchanges, of which a hot partition can be split.
+    shared = scratch.keep(shared.where("first <> last").select("bucket", "first"), "shared")
     inside = scratch.keep(
-        entries.join(shared.where("first <> last"), "bucket").select("bucket", "doc_id", "first"), "buckets")
+        entries.join(shared, "bucket").select("bucket", "doc_id", "first"), "buckets")
     wanted = inside.select("doc_id").distinct()
     text = F.coalesce(F.col("text"), F.lit(""))
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_a"))
@@ -190,7 +192,8 @@ def grouped(docs: DataFrame, scratch: Scratch, n_bands: int = BANDS, rows: int =
         now = inside.join(of.select(F.col("node").alias("doc_id"), F.col("component").alias("g")), "doc_id", "left")
         now = now.select("bucket", "doc_id", F.coalesce("g", "doc_id").alias("g"))
         open_ = now.groupBy("bucket").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo <> hi")
-        return scratch.keep(now.join(open_.select("bucket"), "bucket", "left_semi"), f"open-{step}")
+        open_ = scratch.keep(open_.select("bucket"), f"unfinished-{step}")
+        return scratch.keep(now.join(open_, "bucket", "left_semi"), f"open-{step}")
 
     first = inside.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
     links = scratch.keep(similar(first, texts, least), "links-1")
