@@ -88,12 +88,12 @@ def statistics(texts: pa.Array) -> np.ndarray:
     three, three_at = shingles(w, 3)
     again = occurrence(three, np.repeat(np.arange(n), np.diff(three_at))) > 0
     out["repeat_three"] = _sums(again, three_at) / count
-    out |= _lines(data, at, w, doc, size, count)
+    out |= _lines(data, at, w, doc)
     out["byte_entropy"] = _entropy(data, at, size)
     return np.stack([out[f] for f in FEATURES], axis=1)
 
 
-def _lines(data, at, w, doc, size, count) -> dict[str, np.ndarray]:
+def _lines(data, at, w, doc) -> dict[str, np.ndarray]:
     """Lines with a word: their number, words in each, and the share that is equal to another line."""
     n = len(at) - 1
     if not len(w.hashes):
@@ -109,7 +109,7 @@ def _lines(data, at, w, doc, size, count) -> dict[str, np.ndarray]:
     owner = doc[begin]
     lines = np.bincount(owner, minlength=n).astype(np.float64)
     again = np.bincount(owner, weights=occurrence(value, owner) > 0, minlength=n)
-    return {"log_lines": np.log1p(lines), "line_words": count / np.maximum(lines, 1),
+    return {"log_lines": np.log1p(lines), "line_words": w.counts / np.maximum(lines, 1),
             "repeat_lines": again / np.maximum(lines, 1)}
 
 
