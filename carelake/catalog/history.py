@@ -126,11 +126,12 @@ def scd2_snapshot(t: Tables):
 @query("scd3_price", """
     SELECT p_partkey AS drug_id,
            CAST(CASE WHEN p_size > 25 THEN CAST(p_retailprice AS DECIMAL(10,2)) + 10 ELSE CAST(p_retailprice AS DECIMAL(10,2)) END AS DOUBLE) AS current_price,
-           CAST(CASE WHEN p_size > 25 THEN CAST(p_retailprice AS DECIMAL(10,2)) END AS DOUBLE) AS previous_price,
-           CASE WHEN p_size > 25 THEN DATE '2001-12-31' END AS price_changed_at
+           CAST(CASE WHEN p_size > 25 AND p_partkey % 7 <> 0 THEN CAST(p_retailprice AS DECIMAL(10,2)) END AS DOUBLE) AS previous_price,
+           CASE WHEN p_size > 25 AND p_partkey % 7 <> 0 THEN DATE '2001-12-31' END AS price_changed_at
     FROM part""")
 def scd3_price(t: Tables):
-    dim = t.drugs.select(
+    # Every seventh drug is new on the day and in the delta only.
+    dim = t.drugs.where("drug_id % 7 <> 0").select(
         "drug_id", F.col("price").alias("current_price"), F.lit(None).cast("decimal(10,2)").alias("previous_price"),
         F.lit(None).cast("date").alias("price_changed_at"))
     price = F.col("p_retailprice").cast("decimal(10,2)")
@@ -178,33 +179,33 @@ def _fields(t: Tables):
     return matching.match_fields(t.registrations, "record_id", "first_name", "last_name", "birth_date", "phone", "id_hash")
 
 
-_FIELDS_SQL = """
+# Pairs are scored from the raw fields; nothing here knows the rules or their keys.
+_SCORED_SQL = """
     fields AS (
-        SELECT record_id, upper(trim(first_name)) AS f, upper(trim(last_name)) AS l, birth_date AS d, right(phone, 6) AS p, right(id_hash, 4) AS i,
-               left(regexp_replace(upper(first_name), '[^B-DF-HJ-NP-TVXZ]', '', 'g'), 4) AS fk,
-               left(regexp_replace(upper(last_name), '[^B-DF-HJ-NP-TVXZ]', '', 'g'), 4) AS lk
-        FROM registrations)"""
-_KEY_SQL = {
-    "r0": "concat_ws('|', d, p, i, fk)", "r1": "concat_ws('|', d, p, i, lk)", "r2": "concat_ws('|', d, p, fk, lk)",
-    "r3": "concat_ws('|', d, i, fk, lk)", "r4": "concat_ws('|', p, i, f, lk)", "r5": "concat_ws('|', p, i, fk, l)",
-    "m0": "concat_ws('|', d, p, f, l)", "m1": "concat_ws('|', d, p, i, fk, lk)",
-}
-
-
-_PAIRS_SQL = f"""
-    WITH {_FIELDS_SQL},
-    keyed AS ({' UNION ALL '.join(f"SELECT *, '{r}' || {k} AS k FROM fields" for r, k in _KEY_SQL.items())}),
-    anchors AS (SELECT k, min(record_id) AS anchor_id FROM keyed GROUP BY k HAVING count(*) > 1),
-    links AS (SELECT DISTINCT anchor_id, record_id FROM keyed JOIN anchors USING (k) WHERE record_id <> anchor_id),
+        SELECT record_id, nullif(upper(trim(first_name)), '') AS f, nullif(upper(trim(last_name)), '') AS l, birth_date AS d,
+               right(nullif(trim(phone), ''), 6) AS p, right(nullif(trim(id_hash), ''), 4) AS i
+        FROM registrations),
+    formed AS (
+        SELECT *, CASE WHEN length(f) >= 4 THEN list_append([left(f, k - 1) || substr(f, k + 1) for k in range(1, length(f) + 1)], f) ELSE [f] END AS fn,
+               CASE WHEN length(l) >= 4 THEN list_append([left(l, k - 1) || substr(l, k + 1) for k in range(1, length(l) + 1)], l) ELSE [l] END AS ln
+        FROM fields),
+    near AS (
+        SELECT a.record_id AS x, b.record_id AS y FROM formed a JOIN formed b ON a.d = b.d AND a.p = b.p WHERE a.record_id <> b.record_id
+        UNION SELECT a.record_id, b.record_id FROM formed a JOIN formed b ON a.d = b.d AND a.i = b.i WHERE a.record_id <> b.record_id
+        UNION SELECT a.record_id, b.record_id FROM formed a JOIN formed b ON a.p = b.p AND a.i = b.i WHERE a.record_id <> b.record_id),
     scored AS (
-        SELECT anchor_id, b.record_id,
+        SELECT x AS record_id, y AS match_id,
                round(CASE WHEN a.d = b.d THEN 0.25 ELSE 0 END + CASE WHEN a.p = b.p THEN 0.2 ELSE 0 END + CASE WHEN a.i = b.i THEN 0.15 ELSE 0 END
-                   + CASE WHEN a.f = b.f THEN 0.2 WHEN a.fk = b.fk THEN 0.15 ELSE 0 END
-                   + CASE WHEN a.l = b.l THEN 0.2 WHEN a.lk = b.lk THEN 0.15 ELSE 0 END, 2)::DOUBLE AS score,
+                   + CASE WHEN a.f = b.f THEN 0.2 WHEN list_has_any(a.fn, b.fn) THEN 0.15 ELSE 0 END
+                   + CASE WHEN a.l = b.l THEN 0.2 WHEN list_has_any(a.ln, b.ln) THEN 0.15 ELSE 0 END, 2)::DOUBLE AS score,
                round(1 - levenshtein(a.f, b.f) / greatest(length(a.f), length(b.f)), 4) AS first_similarity,
                round(1 - levenshtein(a.l, b.l) / greatest(length(a.l), length(b.l)), 4) AS last_similarity
-        FROM links JOIN fields a ON a.record_id = anchor_id JOIN fields b ON b.record_id = links.record_id)
-    SELECT *, CASE WHEN score >= 0.85 THEN 'MERGE' WHEN score >= 0.7 THEN 'REVIEW' ELSE 'SEPARATE' END AS tier FROM scored"""
+        FROM near JOIN formed a ON a.record_id = x JOIN formed b ON b.record_id = y)"""
+_PAIRS_SQL = f"""
+    WITH {_SCORED_SQL},
+    best AS (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY match_id) AS nth FROM scored WHERE score >= 0.7)
+    SELECT record_id, match_id, score, first_similarity, last_similarity,
+           CASE WHEN score >= 0.85 THEN 'MERGE' ELSE 'REVIEW' END AS tier FROM best WHERE nth = 1"""
 
 
 @query("match_pairs", _PAIRS_SQL)
@@ -213,9 +214,8 @@ def match_pairs(t: Tables):
 
 
 _CLUSTER_SQL = f"""
-    WITH RECURSIVE {_FIELDS_SQL},
-    keyed AS (SELECT record_id, 'm0' || {_KEY_SQL['m0']} AS k FROM fields UNION ALL SELECT record_id, 'm1' || {_KEY_SQL['m1']} FROM fields),
-    edges AS (SELECT DISTINCT a.record_id AS x, b.record_id AS y FROM keyed a JOIN keyed b USING (k)),
+    WITH RECURSIVE {_SCORED_SQL},
+    edges AS (SELECT record_id AS x, match_id AS y FROM scored WHERE score >= 0.85 UNION SELECT record_id, record_id FROM fields),
     reach(x, y) AS (SELECT x, y FROM edges UNION SELECT r.x, e.y FROM reach r JOIN edges e ON r.y = e.x),
     assigned AS (SELECT x AS record_id, 'UPMI-' || CASE WHEN min(y) < 100000000 THEN lpad(CAST(min(y) AS VARCHAR), 8, '0') ELSE CAST(min(y) AS VARCHAR) END AS global_patient_id
                  FROM reach GROUP BY x)
@@ -234,6 +234,6 @@ def duplicate_rate(t: Tables):
     return matching.duplicate_rate(matching.assign_global_ids(_fields(t)))
 
 
-@query("review_queue", _PAIRS_SQL + " WHERE score >= 0.7 AND score < 0.85")
+@query("review_queue", _PAIRS_SQL + " AND score < 0.85")
 def review_queue(t: Tables):
     return matching.review_queue(matching.match_links(_fields(t)))

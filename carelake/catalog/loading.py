@@ -124,16 +124,23 @@ def wm_lookback(t: Tables):
         SELECT o_custkey, count(*) AS n, max(o_orderdate) AS newest, arg_max(o_orderstatus, o_orderkey) AS last_status
         FROM orders GROUP BY o_custkey)
     SELECT c_name AS entity_name,
-           CASE WHEN last_status IS NOT NULL AND last_status <> 'F' THEN CAST(newest AS VARCHAR) ELSE '1995-01-01 00:00:00' END AS last_watermark_value,
-           CAST(c_nationkey + CASE WHEN last_status <> 'F' THEN n ELSE 0 END AS BIGINT) AS records_processed,
-           CAST(CASE WHEN last_status <> 'F' THEN 0 WHEN last_status = 'F' THEN c_nationkey % 4 + 1 ELSE c_nationkey % 4 END AS INTEGER) AS consecutive_failures,
-           CASE WHEN last_status IS NOT NULL THEN 'run-' || o_custkey ELSE 'none' END AS last_pipeline_run_id,
-           CASE WHEN last_status <> 'F' THEN 0 WHEN last_status = 'F' THEN c_nationkey % 4 + 1 ELSE c_nationkey % 4 END >= 3 AS needs_attention
-    FROM customer LEFT JOIN result ON c_custkey = o_custkey""")
+           CASE WHEN last_status <> 'F' AND newest > old_mark THEN CAST(newest AS VARCHAR) ELSE CAST(old_mark AS VARCHAR) END AS last_watermark_value,
+           CAST(old_records + CASE WHEN last_status <> 'F' THEN n ELSE 0 END AS BIGINT) AS records_processed,
+           CAST(CASE WHEN last_status <> 'F' THEN 0 WHEN last_status = 'F' THEN old_failures + 1 ELSE old_failures END AS INTEGER) AS consecutive_failures,
+           CASE WHEN last_status IS NOT NULL THEN 'run-' || o_custkey WHEN known THEN 'none' END AS last_pipeline_run_id,
+           CASE WHEN last_status <> 'F' THEN 0 WHEN last_status = 'F' THEN old_failures + 1 ELSE old_failures END >= 3 AS needs_attention
+    FROM (SELECT *, c_custkey % 10 <> 0 AS known,
+                 CASE WHEN c_custkey % 10 = 0 THEN TIMESTAMP '1900-01-01' WHEN c_custkey % 3 = 0 THEN TIMESTAMP '1998-07-01' ELSE TIMESTAMP '1995-01-01' END AS old_mark,
+                 CASE WHEN c_custkey % 10 = 0 THEN 0 ELSE c_nationkey END AS old_records,
+                 CASE WHEN c_custkey % 10 = 0 THEN 0 ELSE c_nationkey % 4 END AS old_failures FROM customer)
+    LEFT JOIN result ON c_custkey = o_custkey
+    WHERE known OR last_status IS NOT NULL""")
 def wm_advance(t: Tables):
     customer = t.raw("customer")
-    control = customer.select(
-        F.col("c_name").alias("entity_name"), F.lit("1995-01-01 00:00:00").alias("last_watermark_value"),
+    # Every tenth entity is not in the control table yet; every third has a mark most of its runs lie before.
+    mark = F.when(F.col("c_custkey") % 3 == 0, "1998-07-01 00:00:00").otherwise("1995-01-01 00:00:00")
+    control = customer.where("c_custkey % 10 <> 0").select(
+        F.col("c_name").alias("entity_name"), mark.alias("last_watermark_value"),
         F.col("c_nationkey").cast("long").alias("records_processed"),
         (F.col("c_nationkey") % 4).alias("consecutive_failures"), F.lit("none").alias("last_pipeline_run_id"))
     orders = t.raw("orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderdate")

@@ -219,7 +219,7 @@ def count_7d_range(t: Tables):
     keys = ["patient_id", "procedure_code"]
     claims = t.claims(patient=True).select("claim_id", *keys, "claim_date")
     counts = aggregates.trailing_days(claims, keys, "claim_date", 7, "proc_count_7d")
-    return claims.join(counts, [*keys, "claim_date"]).select("claim_id", *keys, "claim_date", "proc_count_7d")
+    return joins.join_summary(claims, counts, [*keys, "claim_date"]).select("claim_id", *keys, "claim_date", "proc_count_7d")
 
 
 @query("ytd_revenue", """

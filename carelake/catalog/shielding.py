@@ -55,12 +55,13 @@ def mask_card(t: Tables):
 
 @query("mask_by_policy", """
     SELECT patient_id, sha256(aadhaar_number) AS aadhaar_number_hash, 'XXXXXX' || substr(phone_number, 7) AS phone_number,
-           left(email, 1) || '***' || substr(email, strpos(email, '@') - 1) AS email, full_name, city
+           left(email, 1) || '***' || substr(email, strpos(email, '@') - 1) AS email, full_name, sha256(city) AS city_hash
     FROM patients""")
 def mask_by_policy(t: Tables):
     rows = t.patients.select("patient_id", "aadhaar_number", "phone_number", "email", "full_name", "city")
-    policy = {"aadhaar_number": "CRITICAL", "phone_number": "HIGH", "email": "HIGH", "full_name": "MEDIUM", "patient_id": "LOW"}
-    return privacy.mask_by_policy(rows, policy, {"email": privacy.mask_email})
+    policy = {"aadhaar_number": "CRITICAL", "phone_number": "HIGH", "email": "HIGH", "full_name": "MEDIUM", "patient_id": "LOW",
+              "city": "HIGH"}
+    return privacy.mask_by_policy(rows, policy, {"email": privacy.mask_email, "phone_number": privacy.mask_phone_prefix})
 
 
 _SCANNED = {"documents": ["text", "source"], "pages": ["html", "url"], "conversations": ["text"], "benchmark": ["text"]}

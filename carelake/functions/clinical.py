@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from carelake.functions import text
 
+# Amounts from which a claim is looked at.
 HIGH_VALUE_CLAIM = 100000.0
 DENIED_SCRUTINY = 50000.0
 

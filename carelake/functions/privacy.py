@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Fixed value: text that replaces an address.
 REDACTED_ADDRESS = "[REDACTED_TO_CITY_LEVEL]"
 
 # Column names that must not reach the reporting layer.
@@ -19,6 +20,8 @@ VALUE_PATTERNS = {
     "identifier_12": r"\b[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}\b",
 }
 
+LEVELS = ("CRITICAL", "HIGH", "MEDIUM", "LOW")
+
 # Text every match of a pattern must contain; rows without it skip the expression.
 PATTERN_MARKS = {"email": "@"}
 
@@ -34,8 +37,9 @@ def holds_pattern(col: Column, name: str, pattern: str) -> Column:
 
 
 def mask_phone_prefix(col: Column) -> Column:
-    """First six digits hidden: `9841012345` -> `XXXXXX2345`."""
-    return F.regexp_replace(col, r"^\d{6}", "XXXXXX")
+    """All digits but the last four hidden, whatever stands before or between them: `9841012345` -> `XXXXXX2345`,
+    `+91 98410 12345` -> `+XX XXXXX X2345`."""
+    return F.regexp_replace(col, r"\d(?=(?:\D*\d){4})", "X")
 
 
 def mask_phone_suffix(col: Column) -> Column:
@@ -51,8 +55,10 @@ def mask_email(col: Column) -> Column:
 
 
 def mask_card(col: Column) -> Column:
-    """First twelve digits of a card number hidden."""
-    return F.regexp_replace(col, r"^\d{12}", "XXXX-XXXX-XXXX-")
+    """Digits of a card number after the twelfth shown, as one group, whether or not it is written in groups."""
+    digits = F.regexp_replace(col, r"\D", "")
+    return F.when(F.length(digits) > 12, F.concat(F.lit("XXXX-XXXX-XXXX-"), F.substr(digits, F.lit(13)))).otherwise(
+        F.regexp_replace(col, r"\d", "X"))
 
 
 def hash_identifier(df: DataFrame, raw: str = "aadhaar_number", hashed: str = "aadhaar_hash") -> DataFrame:
@@ -75,17 +81,20 @@ def redact_address(df: DataFrame, column: str = "address") -> DataFrame:
 def mask_by_policy(df: DataFrame, policy: Mapping[str, str], masks: Mapping[str, object] | None = None) -> DataFrame:
     """Apply a classification policy `{column: level}` in one projection.
 
-    CRITICAL columns are hashed to `<c>_hash`; HIGH columns go through their entry in `masks`
-    (phone prefix mask when none is given); MEDIUM, LOW and unlisted columns are kept.
+    CRITICAL columns are hashed to `<c>_hash`, and so are HIGH columns without an entry in `masks`; other HIGH columns
+    go through their mask. MEDIUM, LOW and unlisted columns are kept. An unknown level is an error.
     """
     masks = masks or {}
+    unknown = {level for level in policy.values() if level.upper() not in LEVELS}
+    if unknown:
+        raise ValueError(f"unknown levels: {sorted(unknown)}")
     out = []
     for name in df.columns:
         level = policy.get(name, "LOW").upper()
-        if level == "CRITICAL":
+        if level == "CRITICAL" or (level == "HIGH" and name not in masks):
             out.append(hash_value(F.col(name)).alias(f"{name}_hash"))
         elif level == "HIGH":
-            out.append(masks.get(name, mask_phone_prefix)(F.col(name)).alias(name))
+            out.append(masks[name](F.col(name)).alias(name))
         else:
             out.append(F.col(name))
     return df.select(*out)

@@ -41,19 +41,14 @@ JOB_BUDGETS = [
 
 def audit_record(spark: SparkSession, *, pipeline: str, job: str, run_id: str, source: str, entity: str, read: int,
                  written: int, rejected: int, status: str, start: datetime, end: datetime,
-                 error: str | None = None) -> DataFrame:
-    """One audit row; the table it goes to is only ever appended to."""
+                 error: str | None = None, batch_id: int | None = None) -> DataFrame:
+    """One audit row of a run, or of one of its micro-batches; the table it goes to is only ever appended to."""
     seconds = int((end - start).total_seconds())
-    row = (pipeline, job, run_id, source, entity, read, written, rejected, status, start, end, seconds, error or "")
+    run = run_id if batch_id is None else f"{run_id}-batch{batch_id}"
+    row = (pipeline, job, run, source, entity, read, written, rejected, status, start, end, seconds, error or "")
     return spark.createDataFrame([row], AUDIT_SCHEMA)
 
 
-def stream_audit_record(spark: SparkSession, *, stream: str, batch_id: int, run_id: str, **counts) -> DataFrame:
-    """Audit row of one micro-batch."""
-    return audit_record(spark, pipeline=f"stream_{stream}", job=stream, run_id=f"{run_id}-batch{batch_id}",
-                        source=f"KAFKA_{stream.upper()}", entity=stream, **counts)
-
-
 def route_counts(routed: DataFrame, valid: str, by: Sequence[str] = ()) -> DataFrame:
     """Rows read, written and rejected from one aggregate over the routed rows."""
     measures = [

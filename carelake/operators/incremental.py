@@ -48,17 +48,21 @@ def run_results(loaded: DataFrame, entity: str, run: str, updated_at: str) -> Da
 def advance_marks(control: DataFrame, results: DataFrame) -> DataFrame:
     """Apply one run result per entity `(entity_name, load_status, new_watermark, records, run_id)`.
 
-    Success sets the mark, adds the rows and clears the failures. Failure only counts up. `needs_attention`
-    marks entities at three failures in a row.
+    Success moves the mark forward (a late or repeated run never moves it back), adds the rows and clears the
+    failures. Failure only counts up. An entity the control table does not have yet starts from the first mark.
+    `needs_attention` marks entities at three failures in a row.
     """
     ran = F.col("load_status").isNotNull()
     ok = F.col("load_status") == "SUCCESS"
-    out = control.join(results, "entity_name", "left").withColumns({
-        "last_watermark_value": F.when(ok, F.coalesce("new_watermark", "last_watermark_value")).otherwise(
-            F.col("last_watermark_value")),
-        "records_processed": F.col("records_processed") + F.when(ok, F.coalesce("records", F.lit(0))).otherwise(0),
-        "consecutive_failures": F.when(ok, 0).when(ran, F.col("consecutive_failures") + 1).otherwise(
-            F.col("consecutive_failures")),
+    before = F.coalesce("last_watermark_value", F.lit(FIRST_MARK))
+    stamp = lambda c: F.try_to_timestamp(c)
+    forward = F.col("new_watermark").isNotNull() & (stamp(F.col("new_watermark")) > stamp(before))
+    failures = F.coalesce("consecutive_failures", F.lit(0))
+    out = control.join(results, "entity_name", "full").withColumns({
+        "last_watermark_value": F.when(ok & forward, F.col("new_watermark")).otherwise(before),
+        "records_processed": F.coalesce("records_processed", F.lit(0))
+        + F.when(ok, F.coalesce("records", F.lit(0))).otherwise(0),
+        "consecutive_failures": F.when(ok, 0).when(ran, failures + 1).otherwise(failures),
         "last_pipeline_run_id": F.when(ran, F.col("run_id")).otherwise(F.col("last_pipeline_run_id")),
     })
     out = out.withColumn("needs_attention", F.col("consecutive_failures") >= FAILURES_BEFORE_ALERT)

@@ -99,7 +99,7 @@ def as_of_versions(facts: DataFrame, versions: DataFrame, key: str, day: str, st
 
 def recent_event_flag(df: DataFrame, events: DataFrame, key: str, at: str, event_ts: str, seconds: int,
                       name: str) -> DataFrame:
-    """1 where the key has an event with `0 <= at - event < seconds`, else 0.
+    """1 where the key has an event with `0 <= at - event < seconds`, else 0. A NULL key has no events.
 
     Events are kept as distinct seconds per (key, time bucket of the interval's length), at most `2 * seconds`
     per bucket, so the lookup is an equi join that adds no rows.
@@ -107,7 +107,7 @@ def recent_event_flag(df: DataFrame, events: DataFrame, key: str, at: str, event
     unix = F.unix_seconds(F.col(event_ts).cast("timestamp"))
     bucket = F.floor(F.col("_e") / F.lit(seconds))
     known = (
-        events.filter(F.col(event_ts).isNotNull())
+        events.filter(F.col(event_ts).isNotNull() & F.col(key).isNotNull())
         .select(F.col(key), unix.alias("_e"))
         .withColumn("_bucket", F.explode(F.array(bucket, bucket + 1)))
         .groupBy(key, "_bucket")

@@ -1,46 +1,60 @@
 """Patient matching: weighted agreement on five fields, tiers, and one global id per cluster.
 
-Weights: first and last name 0.20 each (0.15 when only the name keys agree), birth date 0.25, last six phone
-digits 0.20, identifier-hash suffix 0.15. A score of 0.70 or more is only possible when a pair agrees on all
-fields of at least one rule below, so each rule is an equality key: records are grouped, never compared
-pairwise. Every record is linked to the smallest id of its group; the links connect exactly the records that
-all pairs of the group would connect, with one row per record instead of a quadratic number.
+Weights: first and last name 0.20 each (0.15 when they only nearly agree), birth date 0.25, last six phone digits 0.20,
+identifier-hash suffix 0.15. Two names nearly agree if they become equal when at most one letter is taken out of each;
+names of fewer than four letters have to be equal. A blank or missing field agrees with nothing.
+
+A score of 0.70 or more is only possible when a pair agrees on all fields of at least one rule below, so each rule is an
+equality key. A name that may nearly agree takes part under itself and under each of its forms with one letter less, and
+two records share such a form exactly if the names nearly agree: records are grouped, never compared pairwise, and all
+members of a group match each other. Forms are only made of records that share two of birth date, phone and identifier
+with another one, as every match does.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carelake.operators.components import connected_components
 from carelake.operators.joins import join_summary, settled
 
 WEIGHTS = {"first": 0.20, "last": 0.20, "birth_date": 0.25, "phone6": 0.20, "id4": 0.15}
-NAME_KEY_WEIGHT = 0.15
+NEAR_NAME_WEIGHT = 0.15
+NEAR_FROM_LETTERS = 4
 MERGE_SCORE = 0.85
 REVIEW_SCORE = 0.70
 
-# All minimal field sets whose weights reach the threshold.
+# All minimal field sets whose weights reach the threshold; `~` marks a name that may nearly agree.
 MERGE_RULES = [
     ["birth_date", "phone6", "first", "last"],
-    ["birth_date", "phone6", "id4", "first_key", "last_key"],
+    ["birth_date", "phone6", "id4", "~first", "~last"],
 ]
 REVIEW_RULES = [
-    ["birth_date", "phone6", "id4", "first_key"],
-    ["birth_date", "phone6", "id4", "last_key"],
-    ["birth_date", "phone6", "first_key", "last_key"],
-    ["birth_date", "id4", "first_key", "last_key"],
-    ["phone6", "id4", "first", "last_key"],
-    ["phone6", "id4", "first_key", "last"],
+    ["birth_date", "phone6", "id4", "~first"],
+    ["birth_date", "phone6", "id4", "~last"],
+    ["birth_date", "phone6", "~first", "~last"],
+    ["birth_date", "id4", "~first", "~last"],
+    ["phone6", "id4", "first", "~last"],
+    ["phone6", "id4", "~first", "last"],
 ]
-FIELDS = ["first", "first_key", "last", "last_key", "birth_date", "phone6", "id4"]
+FIELDS = ["first", "last", "birth_date", "phone6", "id4"]
+STRONG = [["birth_date", "phone6"], ["birth_date", "id4"], ["phone6", "id4"]]
 
 
-def name_key(col: Column) -> Column:
-    """Spelling-tolerant name key: the first four consonants."""
-    return F.left(F.regexp_replace(F.upper(col), "[^B-DF-HJ-NP-TVXZ]", ""), F.lit(4))
+def _filled(col: Column) -> Column:
+    """Text without outer blanks; NULL when nothing is left."""
+    return F.nullif(F.trim(col), F.lit(""))
+
+
+def near_forms(name: Column) -> Column:
+    """The name and its forms with one letter less, any script."""
+    n = F.length(name)
+    less = F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(
+        F.substring(name, F.lit(1), i - 1), F.substring(name, i + 1, n)))
+    return F.when(n >= NEAR_FROM_LETTERS, F.array_union(F.array(name), less)).otherwise(F.array(name))
 
 
 def match_fields(df: DataFrame, record_id: str, first: str, last: str, birth_date: str, phone: str,
@@ -48,18 +62,46 @@ def match_fields(df: DataFrame, record_id: str, first: str, last: str, birth_dat
     """Comparison fields of every record."""
     return df.select(
         F.col(record_id).alias("record_id"),
-        F.upper(F.trim(first)).alias("first"), name_key(F.col(first)).alias("first_key"),
-        F.upper(F.trim(last)).alias("last"), name_key(F.col(last)).alias("last_key"),
+        _filled(F.upper(F.col(first))).alias("first"), _filled(F.upper(F.col(last))).alias("last"),
         F.col(birth_date).alias("birth_date"),
-        F.right(F.col(phone), F.lit(6)).alias("phone6"),
-        F.right(F.col(id_hash), F.lit(4)).alias("id4"),
+        F.right(_filled(F.col(phone)), F.lit(6)).alias("phone6"),
+        F.right(_filled(F.col(id_hash)), F.lit(4)).alias("id4"),
     )
 
 
-def _rule_key(number: int, rule: Sequence[str]) -> Column:
-    """Group key of a rule; NULL when any of its fields is missing (a missing field agrees with nothing)."""
-    known = reduce(lambda a, b: a & b, [F.col(f).isNotNull() for f in rule])
-    return F.when(known, F.array(F.lit(str(number)), *[F.col(f).cast("string") for f in rule]))
+def _related(fields: DataFrame) -> DataFrame:
+    """Records that share two strong fields with another record."""
+    keys = [F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), F.array(
+        F.lit(str(i)), F.col(x).cast("string"), F.col(y).cast("string"))) for i, (x, y) in enumerate(STRONG)]
+    pairs = fields.select("record_id", F.explode(F.array_compact(F.array(*keys))).alias("_key"))
+    shared = pairs.groupBy("_key").agg(F.min("record_id").alias("lo"), F.max("record_id").alias("hi")).where("lo <> hi")
+    some = join_summary(pairs, shared, ["_key"], "inner").select("record_id").distinct()
+    return fields.join(some, "record_id", "left_semi")
+
+
+def _with_forms(keys: Column, forms: Column) -> Column:
+    return F.flatten(F.transform(keys, lambda key: F.transform(forms, lambda form: F.concat(key, F.array(form)))))
+
+
+def _members(fields: DataFrame, rules: Sequence[Sequence[str]]) -> DataFrame:
+    """`record_id` and `_key` for every rule and form a record has the fields for."""
+    keys = F.array().cast("array<array<string>>")
+    for number, rule in enumerate(rules):
+        fixed = [f for f in rule if not f.startswith("~")]
+        made = F.array(F.array(F.lit(str(number)), *[F.col(f).cast("string") for f in fixed]))
+        for f in rule:
+            if f.startswith("~"):
+                made = _with_forms(made, near_forms(F.col(f[1:])))
+        known = F.lit(True)
+        for f in rule:
+            known = known & F.col(f.removeprefix("~")).isNotNull()
+        keys = F.concat(keys, F.when(known, made).otherwise(F.array().cast("array<array<string>>")))
+    return fields.select("record_id", F.explode(F.transform(keys, lambda k: F.xxhash64(k))).alias("_key"))
+
+
+def _near(a: str, b: str, field: str) -> Column:
+    x, y = F.col(f"{a}.{field}"), F.col(f"{b}.{field}")
+    return F.coalesce(F.arrays_overlap(near_forms(x), near_forms(y)), F.lit(False))
 
 
 def _score(a: str, b: str) -> Column:
@@ -70,7 +112,7 @@ def _score(a: str, b: str) -> Column:
     for f in ("birth_date", "phone6", "id4"):
         total = total + F.when(same(f), WEIGHTS[f]).otherwise(0.0)
     for f in ("first", "last"):
-        total = total + F.when(same(f), WEIGHTS[f]).when(same(f"{f}_key"), NAME_KEY_WEIGHT).otherwise(0.0)
+        total = total + F.when(same(f), WEIGHTS[f]).when(_near(a, b, f), NEAR_NAME_WEIGHT).otherwise(0.0)
     return F.round(total, 2)
 
 
@@ -80,27 +122,26 @@ def _similarity(a: Column, b: Column) -> Column:
 
 
 def match_links(fields: DataFrame) -> DataFrame:
-    """Links `(anchor_id, record_id)` with score, name similarity and tier MERGE / REVIEW.
+    """Every record that matches another one, beside the smallest such record: `record_id`, `match_id`, score, name
+    similarities and tier MERGE / REVIEW.
 
-    A record appears once per rule it has the fields for. One aggregation finds the anchor of every group,
-    one equi join takes it back to the members; a link found by several rules is reported once.
+    One row per record, however large its group: a group contributes its two smallest ids, by one aggregation and one
+    equi join back to the members.
     """
+    related = _related(fields)
+    members = _members(related, REVIEW_RULES + MERGE_RULES)
+    lowest = members.groupBy("_key").agg(F.min("record_id").alias("a"), F.max("record_id").alias("z")).where("a <> z")
+    found = join_summary(members, lowest, ["_key"], "inner")
+    second = found.where("record_id <> a").groupBy("_key").agg(F.min("record_id").alias("b"))
+    partner = join_summary(found, second, ["_key"], "inner").groupBy("record_id").agg(
+        F.min(F.when(F.col("record_id") == F.col("a"), F.col("b")).otherwise(F.col("a"))).alias("match_id"))
     row = F.struct("record_id", *FIELDS)
-    keys = [_rule_key(i, rule) for i, rule in enumerate(REVIEW_RULES + MERGE_RULES)]
-    members = fields.select(row.alias("b"), F.explode(F.array_compact(F.array(*keys))).alias("_key"))
-    anchors = (
-        members.groupBy("_key")
-        .agg(F.min_by("b", F.col("b.record_id")).alias("a"), F.count(F.lit(1)).alias("_n"))
-        .filter("_n > 1")
-        .drop("_n")
-    )
-    linked = join_summary(members, anchors, ["_key"], "inner").filter(F.col("a.record_id") != F.col("b.record_id"))
-    scored = linked.select(
-        F.col("a.record_id").alias("anchor_id"), F.col("b.record_id").alias("record_id"),
-        _score("a", "b").alias("score"),
-        _similarity(F.col("a.first"), F.col("b.first")).alias("first_similarity"),
-        _similarity(F.col("a.last"), F.col("b.last")).alias("last_similarity"),
-    ).distinct()
+    own = related.select("record_id", row.alias("x"))
+    other = related.select(F.col("record_id").alias("match_id"), row.alias("y"))
+    scored = partner.join(own, "record_id").join(other, "match_id").select(
+        "record_id", "match_id", _score("x", "y").alias("score"),
+        _similarity(F.col("x.first"), F.col("y.first")).alias("first_similarity"),
+        _similarity(F.col("x.last"), F.col("y.last")).alias("last_similarity"))
     return scored.withColumn("tier", tier(F.col("score")))
 
 
@@ -113,29 +154,17 @@ def review_queue(links: DataFrame) -> DataFrame:
 
 
 def assign_global_ids(fields: DataFrame, prefix: str = "UPMI-") -> DataFrame:
-    """`(record_id, global_patient_id)`: records connected by MERGE links share one id.
+    """`(record_id, global_patient_id)`: records connected by MERGE matches share one id, that of the smallest of them.
 
-    Records that agree on both merge keys are collapsed first. Labels then travel between groups of the two
-    keys until none changes: per round one aggregate and one equi join per key. Each round ends in a table in
-    the shared checkpoint folder, which cuts the lineage and, unlike a checkpoint, also the constraints the
-    optimizer would carry from round to round. A record that lacks a field of a rule stands alone for that rule.
+    Each group of a merge rule is a star around its smallest record; clusters are the components of the stars. A record
+    that lacks a field of a rule stands alone for that rule.
     """
-    names = ["_k0", "_k1"]
-    own = F.array(F.lit("single"), F.col("record_id").cast("string"))
-    keyed = fields.select("record_id", *[
-        F.coalesce(_rule_key(i, rule), own).alias(n) for i, (n, rule) in enumerate(zip(names, MERGE_RULES))])
-    nodes = settled(keyed.groupBy(*names).agg(F.min("record_id").alias("label")))
-    while True:
-        step = nodes.withColumnRenamed("label", "_before").withColumn("label", F.col("_before"))
-        for n in names:
-            least = step.groupBy(n).agg(F.min("label").alias("_least"))
-            step = join_summary(step, least, [n], "inner").drop("label").withColumnRenamed("_least", "label")
-        spread = settled(step)
-        nodes = spread.select(*names, "label")
-        if spread.filter(F.col("label") != F.col("_before")).isEmpty():
-            break
-    found = keyed.join(nodes, names)
-    return found.select("record_id", global_id(F.col("label"), prefix).alias("global_patient_id"))
+    members = _members(_related(fields), MERGE_RULES)
+    anchors = members.groupBy("_key").agg(F.min("record_id").alias("a"), F.max("record_id").alias("z")).where("a <> z")
+    stars = join_summary(members, anchors, ["_key"], "inner").select("a", F.col("record_id").alias("b"))
+    clusters = connected_components(stars, lambda df, _: settled(df))
+    found = fields.select("record_id").join(clusters.withColumnRenamed("node", "record_id"), "record_id", "left")
+    return found.select("record_id", global_id(F.coalesce("component", "record_id"), prefix).alias("global_patient_id"))
 
 
 def global_id(label: Column, prefix: str = "UPMI-") -> Column:

@@ -6,7 +6,7 @@ slice carries the state across slice borders. All other keys keep the plain wind
 pays one count per key on top of a single shuffle.
 
 `slice_by` must never decrease along `order`: a date or truncated timestamp of the first order column. Order
-columns must not be NULL.
+columns must not be NULL. Keys may be: rows without a key are one group, which is cut like any other.
 """
 
 from __future__ import annotations
@@ -31,10 +31,13 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     return counts.filter(F.col("_rows") > hot_rows).select(*keys, F.lit(True).alias(_HOT))
 
 
-def _sliced(df: DataFrame, keys: Sequence[str], slice_by: Column, hot_rows: int) -> DataFrame:
-    """Slice of the rows of hot keys; NULL for all others."""
-    marked = df.join(F.broadcast(hot_keys(df, keys, hot_rows)), list(keys), "left")
-    return marked.withColumn(_SLICE, F.when(F.col(_HOT), slice_by)).drop(_HOT)
+def _sliced(df: DataFrame, keys: Sequence[str], slice_by: Column, hot_rows: int) -> tuple[DataFrame, list[str]]:
+    """Rows with the slice of hot keys (NULL for all others), and the names of key columns that are never NULL."""
+    names = [f"_key{i}" for i in range(len(keys))]
+    known = df.withColumns({
+        n: F.coalesce(F.concat(F.lit("="), F.col(k).cast("string")), F.lit("")) for n, k in zip(names, keys)})
+    marked = known.join(F.broadcast(hot_keys(known, names, hot_rows)), names, "left")
+    return marked.withColumn(_SLICE, F.when(F.col(_HOT), slice_by)).drop(_HOT), names
 
 
 def _sorted(order: Sequence[str], forward: bool) -> list[Column]:
@@ -42,8 +45,7 @@ def _sorted(order: Sequence[str], forward: bool) -> list[Column]:
 
 
 def _neighbour(df, keys, order, slice_by, values: Mapping[str, str], forward: bool, hot_rows: int) -> DataFrame:
-    keys = list(keys)
-    ranked = _sliced(df, keys, slice_by, hot_rows)
+    ranked, keys = _sliced(df, keys, slice_by, hot_rows)
     inside = Window.partitionBy(*keys, _SLICE).orderBy(*_sorted(order, forward))
     sources = list(dict.fromkeys(values.values()))
     pack = F.struct(*[F.col(c) for c in sources])
@@ -63,7 +65,7 @@ def _neighbour(df, keys, order, slice_by, values: Mapping[str, str], forward: bo
     out = out.join(edges, [*keys, _SLICE], "left")
     for name, source in values.items():
         out = out.withColumn(name, F.when(F.col(_POS) == 1, F.col(f"{_EDGE}.{source}")).otherwise(F.col(name)))
-    return out.drop(_SLICE, _POS, _EDGE)
+    return out.drop(_SLICE, _POS, _EDGE, *keys)
 
 
 def previous_values(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_by: Column,
@@ -79,8 +81,8 @@ def next_values(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_
 
 
 def _running(df, keys, order, slice_by, value: Column, name: str, fold, merge, hot_rows: int) -> DataFrame:
-    keys = list(keys)
-    ranked = _sliced(df, keys, slice_by, hot_rows).withColumn(name, value)
+    ranked, keys = _sliced(df, keys, slice_by, hot_rows)
+    ranked = ranked.withColumn(name, value)
     inside = (
         Window.partitionBy(*keys, _SLICE).orderBy(*_sorted(order, True)).rowsBetween(Window.unboundedPreceding, 0)
     )
@@ -95,7 +97,7 @@ def _running(df, keys, order, slice_by, value: Column, name: str, fold, merge, h
     return (
         local.join(carried, [*keys, _SLICE], "left")
         .withColumn(name, merge(F.col(name), F.col(_EDGE)))
-        .drop(_SLICE, _EDGE)
+        .drop(_SLICE, _EDGE, *keys)
     )
 
 

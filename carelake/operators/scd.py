@@ -89,15 +89,20 @@ def load_counts(dim: DataFrame, as_of: Column) -> DataFrame:
 
 
 def apply_type3(dim: DataFrame, delta: DataFrame, key: str, column: str, as_of: Column) -> DataFrame:
-    """Keep current and previous value: `current_<c>`, `previous_<c>`, `<c>_changed_at`."""
+    """Keep current and previous value: `current_<c>`, `previous_<c>`, `<c>_changed_at`.
+
+    A key that only the delta has starts with its value as current and no previous one.
+    """
     cur, prev, at = f"current_{column}", f"previous_{column}", f"{column}_changed_at"
     new = F.col("_incoming")
-    joined = dim.join(delta.select(F.col(key), F.col(column).alias("_incoming")), key, "left")
-    changed = new.isNotNull() & ~new.eqNullSafe(F.col(cur))
+    old = dim.withColumn("_known", F.lit(True))
+    joined = old.join(delta.select(F.col(key), F.col(column).alias("_incoming")), key, "full")
+    fresh = F.col("_known").isNull()
+    changed = ~fresh & new.isNotNull() & ~new.eqNullSafe(F.col(cur))
     return joined.withColumns({
         prev: F.when(changed, F.col(cur)).otherwise(F.col(prev)),
         at: F.when(changed, as_of).otherwise(F.col(at)),
-        cur: F.when(changed, new).otherwise(F.col(cur)),
+        cur: F.when(changed | fresh, new).otherwise(F.col(cur)),
     }).select(*dim.columns)
 
 

@@ -11,13 +11,16 @@ LAG_LIMIT = {"vitals": 500, "claims": 200, "pharmacy_cdc": 100}
 
 
 def kafka_options(servers: str, topic: str, group: str, starting: str = "latest", rate_cap: int | None = None,
-                  sasl_jaas: str | None = None) -> dict[str, str]:
-    """Reader options; with `sasl_jaas` the connection is SASL_SSL / PLAIN."""
+                  sasl_jaas: str | None = None, fail_on_data_loss: bool = True) -> dict[str, str]:
+    """Reader options; with `sasl_jaas` the connection is SASL_SSL / PLAIN.
+
+    Offsets that are gone before they were read stop the query, unless the caller accepts the loss.
+    """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
         "kafka.group.id": group,
     }
     if rate_cap:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,19 +16,43 @@ from carelake.operators.cdc import normalise_op
 from carelake.sources import mappings, schemas
 
 
-def read_csv(spark: SparkSession, path, schema: T.StructType | None = None, pattern: str | None = None) -> DataFrame:
-    """CSV with header, all columns as text, header names free of byte-order marks and blanks.
+def read_csv(spark: SparkSession, path, schema: T.StructType | None = None, pattern: str | None = None,
+             required: Sequence[str] = ()) -> DataFrame:
+    """CSV files, each read by its own header: all columns as text, names free of byte-order marks and blanks.
 
-    With `schema` the header is not looked at. `_file` keeps the name of the file a row came from.
+    Files with the same header line are read together, and the parts are put together by column name; a column that a
+    file lacks is NULL in its rows, and an error if it is one of `schema` or `required`. `_file` keeps the name of the
+    file a row came from.
     """
-    reader = spark.read.option("header", True).option("encoding", "UTF-8")
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    if schema is not None:
-        reader = reader.schema(schema)
-    raw = reader.csv(path)
-    kept = [F.col(f"`{c}`").alias(clean_header(c)) for c in raw.columns]
-    return raw.select(*kept, F.col("_metadata.file_name").alias("_file"))
+    needed = [*(schema.names if schema is not None else ()), *required]
+    parts = []
+    for header, files in _by_header(spark, path, pattern):
+        names = [clean_header(c) for c in next(csv.reader([header]))]
+        fields = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
+        rows = spark.read.option("header", True).option("encoding", "UTF-8").schema(fields).csv(files)
+        named = rows.select(
+            *[F.col(f"_c{i}").alias(n) for i, n in enumerate(names)], F.col("_metadata.file_name").alias("_file"))
+        parts.append(require_columns(named, needed))
+    if not parts:
+        empty = T.StructType([T.StructField(n, T.StringType()) for n in [*needed, "_file"]])
+        return spark.createDataFrame([], empty)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _by_header(spark: SparkSession, path, pattern: str | None) -> list[tuple[str, list[str]]]:
+    """Header lines of the folder with the files that start with them; files without a line are left out.
+
+    The driver gets one row per file, which is what a scan's file listing holds there anyway.
+    """
+    reader = spark.read.option("pathGlobFilter", pattern) if pattern else spark.read
+    lines = reader.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"))
+    first = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    found: dict[str, list[str]] = {}
+    for row in first.orderBy("file").toLocalIterator():
+        found.setdefault(row["header"], []).append(row["file"])
+    return list(found.items())
 
 
 def require_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
@@ -43,7 +69,7 @@ def read_patients(spark: SparkSession, path) -> DataFrame:
 
 def read_labs(spark: SparkSession, folder) -> DataFrame:
     """All CSV files of the landing folder in one scan; optional columns may be absent."""
-    raw = require_columns(read_csv(spark, folder, pattern="*.csv"), schemas.LAB_REQUIRED)
+    raw = read_csv(spark, folder, pattern="*.csv", required=schemas.LAB_REQUIRED)
     return mappings.map_columns(raw, [*mappings.LABS, ("_file", "_src_filename", "string")], absent_as_null=True)
 
 

@@ -91,7 +91,24 @@ def test_severity(spark, hr, spo2, bp, temp, level):
 
 
 def test_policy_masking(spark):
-    df = spark.createDataFrame([("1", "512345678901", "9841012345", "x")], "id string, aadhaar string, phone string, name string")
-    out = privacy.mask_by_policy(df, {"aadhaar": "CRITICAL", "phone": "HIGH", "name": "MEDIUM"})
-    assert out.columns == ["id", "aadhaar_hash", "phone", "name"]
-    assert out.first()["phone"] == "XXXXXX2345"
+    df = spark.createDataFrame([("1", "700011112222", "9000054321", "x", "a@b.example")],
+                               "id string, aadhaar string, phone string, name string, email string")
+    policy = {"aadhaar": "CRITICAL", "phone": "HIGH", "name": "MEDIUM", "email": "HIGH"}
+    out = privacy.mask_by_policy(df, policy, {"phone": privacy.mask_phone_prefix})
+    assert out.columns == ["id", "aadhaar_hash", "phone", "name", "email_hash"]  # no mask of its own: hashed
+    assert out.first()["phone"] == "XXXXXX4321"
+    with pytest.raises(ValueError, match="SECRET"):
+        privacy.mask_by_policy(df, {"name": "SECRET"})
+
+
+@pytest.mark.parametrize("raw, masked", [
+    ("9000054321", "XXXXXX4321"), ("+91 90000 54321", "+XX XXXXX X4321"), ("+919000054321", "+XXXXXXXX4321"), ("123", "123"), (None, None)])
+def test_phone_digits_are_counted(spark, raw, masked):
+    assert spark.createDataFrame([(raw,)], "p string").select(privacy.mask_phone_prefix(F.col("p"))).first()[0] == masked
+
+
+@pytest.mark.parametrize("raw, masked", [
+    ("4000700080009000", "XXXX-XXXX-XXXX-9000"), ("4000 7000 8000 9000", "XXXX-XXXX-XXXX-9000"),
+    ("4000-7000-8000-9000", "XXXX-XXXX-XXXX-9000"), ("4000 7000", "XXXX XXXX"), (None, None)])
+def test_card_groups(spark, raw, masked):
+    assert spark.createDataFrame([(raw,)], "p string").select(privacy.mask_card(F.col("p"))).first()[0] == masked

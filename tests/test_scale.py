@@ -66,13 +66,30 @@ def test_percentile_reads_its_input_once_and_keeps_null_groups(spark):
 
 def test_hot_key_is_sliced_and_others_are_not(spark):
     rows = hot_rows(spark, 3000).withColumn("d", F.date_add(F.lit("2020-01-01").cast("date"), (F.col("v") % 100).cast("int")))
-    sliced = ordered._sliced(rows, ["k"], F.col("d"), 500)
+    sliced, _ = ordered._sliced(rows, ["k"], F.col("d"), 500)
     assert sliced.filter("k = 7 AND _slice IS NULL").count() == 0
     assert sliced.filter("k <> 7 AND _slice IS NOT NULL").count() == 0
     largest = sliced.groupBy("k", "_slice").count().agg(F.max("count")).first()[0]
     assert largest <= 30
 
 
+def test_hot_null_key_is_sliced_and_keeps_its_order(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"), F.col("id").alias("v"),
+                                    F.floor(F.col("id") / 100).alias("d"))
+    sliced, _ = ordered._sliced(rows, ["k"], F.col("d"), 500)
+    assert sliced.filter("k IS NULL AND _slice IS NULL").count() == 0
+    cut = ordered.previous_values(rows, ["k"], ["v"], F.col("d"), {"before": "v"}, hot_rows=500)
+    whole = ordered.previous_values(rows, ["k"], ["v"], F.col("d"), {"before": "v"})
+    assert sorted(map(str, cut.collect())) == sorted(map(str, whole.collect()))
+    assert cut.filter("k IS NULL AND before = v - 3").count() == 999
+
+
+def test_null_key_meets_no_event(spark):
+    rows = spark.createDataFrame([(None, "2024-01-01 10:00:00"), ("a", "2024-01-01 10:00:00")], "k string, at string")
+    out = joins.recent_event_flag(rows, rows.withColumnRenamed("at", "e"), "k", "at", "e", 3600, "f")
+    assert {r["k"]: r["f"] for r in out.collect()} == {None: 0, "a": 1}
+
+
 def test_without_hot_keys_the_edge_branch_disappears(spark, tables):
     from carelake.operators import kpi
 

@@ -61,7 +61,7 @@ def test_vitals_stream_equals_the_batch(spark, tmp_path):
     assert audit.agg(F.sum("records_read"), F.sum("records_written"), F.sum("records_rejected")).first()[:] == (8, 4, 4)
     assert sorted(r["run_id"] for r in audit.collect()) == ["run-batch0", "run-batch1"]
     alert = {r["batch_id"]: (r["alert_rows"], r["message"]) for r in spark.read.parquet(spec.folder("alerts")).collect()}
-    assert alert[0][0] == 1 and alert[0][1].startswith("ICU-1 (HR:40")
+    assert alert[0][0] == 1 and alert[0][1].startswith("ICU-1: pulse=40")
     assert alert[1][1].startswith("ICU-6")
 
     go()  # restart: nothing new, nothing twice
