@@ -234,7 +234,8 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Fores
     known = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where(
         F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
     some = sampled(known, "quality", F.col("doc_id"), examples)
-    rows = docs.select("doc_id", "text").join(some, "doc_id")
+    # The sample has about `examples` rows of each label, whatever the input; the texts stay where they are.
+    rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")
     got = measured(rows, ["doc_id", "quality"]).orderBy("doc_id", "quality", "stats").collect()
     x = np.array([r.stats for r in got]).reshape(-1, len(FEATURES))
     y = np.array([r.quality for r in got], np.float64)
