@@ -12,6 +12,9 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carelake.operators import components
+from carelake.operators.joins import join_summary
+
 #: A word: what stands between space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -85,36 +88,12 @@ def sampled(df: DataFrame, group: str, key: Column, per_group: int) -> DataFrame
     counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
     place = F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
     share = F.least(F.lit(1.0), F.lit(float(per_group)) / F.col("_n"))
-    return df.join(counts, group).where(place < share).drop("_n")
+    return join_summary(df, counts, [group], "inner").where(place < share).drop("_n")
 
 
 def connected_components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFrame:
-    """`node`, `component` (its smallest node) for every node of `edges` (`a`, `b`); null ends are left out.
-
-    Contraction: each round a node moves to a neighbour, and edges are rewritten to where their ends moved. In the first
-    round that is the least neighbour, which turns stars around their least node into one node; later it is the one with
-    the least random rank of the round, which takes a fixed share of the nodes even off a chain. The number of rounds
-    grows with the logarithm of the nodes, and what they write shrinks from round to round. Joins see a hot node only as
-    one side of a sort-merge join, which the adaptive plan splits.
-    """
-    pairs = edges.select("a", "b").where("a is not null and b is not null and a <> b")
-    both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    live = scratch.keep(both, f"{name}-edges-0")
-    where = live.select(F.col("a").alias("node"), F.col("a").alias("at")).distinct()
-    turn = 0
-    while not live.isEmpty():
-        by = lambda c: F.struct(F.xxhash64(F.col(c), F.lit(turn)) if turn else F.lit(0), F.col(c).alias("v"))  # noqa: B023, E731
-        best = live.groupBy("a").agg(F.min(by("b")).alias("o"))
-        moved = scratch.keep(best.select("a", F.least(F.col("o"), by("a"))["v"].alias("to")), f"{name}-moves-{turn}")
-        ends = moved.select(F.col("a").alias("b"), F.col("to").alias("to_b"))
-        nearer = (live.join(moved, "a").join(ends, "b").where("to <> to_b")
-                  .select(F.col("to").alias("a"), F.col("to_b").alias("b")).distinct())
-        where = where.join(moved.select(F.col("a").alias("at"), "to"), "at", "left").select(
-            "node", F.coalesce("to", "at").alias("at"))
-        turn += 1
-        live = scratch.keep(nearer, f"{name}-edges-{turn}")
-    least = where.groupBy("at").agg(F.min("node").alias("component"))
-    return scratch.keep(where.join(least, "at").select("node", "component"), f"{name}-components")
+    """`node` and `component`, its smallest node; the tables of all rounds go to the scratch folder."""
+    return components.connected_components(edges, lambda df, part: scratch.keep(df, f"{name}-{part}"))
 
 
 def blocks(total: int, limit: int) -> Iterator[tuple[int, int]]:

@@ -109,10 +109,12 @@ def fit(texts: list[str], languages: list[str]) -> Model | None:
 
 def learn(docs: DataFrame, examples: int = EXAMPLES) -> Model | None:
     rows = docs.select("doc_id", "text", "lang").where(
-        F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))
+        F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))
         & (F.length("text") <= LONGEST) & F.rlike("text", F.lit(r"\p{L}")))
     n_languages = rows.agg(F.countDistinct("lang")).first()[0]
-    some = sampled(rows, "lang", F.col("doc_id"), max(1, examples // max(n_languages, 1))).select("doc_id", "text", "lang")
+    chosen = sampled(rows.select("doc_id", "lang"), "lang", F.col("doc_id"), max(1, examples // max(n_languages, 1)))
+    # About `examples` ids, whatever the input; the texts stay where they are.
+    some = rows.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id")
     got = some.orderBy("lang", F.xxhash64("doc_id", "text"), "doc_id").collect()
     return fit([r.text for r in got], [r.lang for r in got])
 
