@@ -88,9 +88,25 @@ def scd2_rebuild(t: Tables):
 
 
 @query("scd2_claim_status", """
+    WITH moves AS (SELECT user_id AS claim_id, ts, arg_max(event_type, event_id) AS status FROM events GROUP BY ALL),
+    marked AS (SELECT *, lag(status) OVER (PARTITION BY claim_id ORDER BY ts) AS before FROM moves),
+    starts AS (SELECT * FROM marked WHERE before IS NULL OR before <> status)
+    SELECT claim_id, status, ts AS eff_start_ts, lead(ts) OVER w AS eff_end_ts,
+           CAST(CASE WHEN lead(ts) OVER w IS NULL THEN 1 ELSE 0 END AS INTEGER) AS is_current
+    FROM starts WINDOW w AS (PARTITION BY claim_id ORDER BY ts)""")
+def scd2_claim_status(t: Tables):
+    """Every status a claim has had, by event time: a claim may move several times a day, and back."""
+    moves = t.raw("events").select(
+        F.col("user_id").alias("claim_id"), F.col("event_type").alias("status"), "ts", "event_id")
+    return scd.rebuild_type2(moves, "claim_id", ["status"], "ts", ["event_id"]).select(
+        "claim_id", "status", F.col("eff_start_date").alias("eff_start_ts"), F.col("eff_end_date").alias("eff_end_ts"),
+        "is_current")
+
+
+@query("scd2_plan_events", """
     SELECT patient_id, plan, eff_start_date, eff_end_date, CAST(CASE WHEN eff_end_date IS NULL THEN 1 ELSE 0 END AS INTEGER) AS is_current, record_hash
     FROM versions""")
-def scd2_claim_status(t: Tables):
+def scd2_plan_events(t: Tables):
     """Dimension as of 1999, then all later transitions in one batch."""
     events = plan_events(t)
     cut = F.lit("1999-01-01").cast("date")

@@ -87,7 +87,9 @@ def fraud_scores(t: Tables):
 @query("fraud_flags_of_day", _SCORED + """
     SELECT claim_id, fraud_score, claim_date AS flag_date FROM scored WHERE fraud_score >= 5 AND claim_date = DATE '1998-03-29'""")
 def fraud_flags_of_day(t: Tables):
-    return fraud.flags_of_day(fraud.flags(_scored(t)), "1998-03-29").select("claim_id", "fraud_score", "flag_date")
+    return fraud.flags_of_day(
+        t.claims(patient=True, diagnosis=True), t.discharges, "1998-03-29", amount_limit=AMOUNT_LIMIT,
+        physician_limit=PHYSICIAN_LIMIT, pairs=PAIRS).select("claim_id", "fraud_score", "flag_date")
 
 
 @query("fraud_f1", f"WITH {_F1} SELECT patient_id, procedure_code, claim_date, proc_count_7d FROM f1_groups WHERE proc_count_7d > 2")

@@ -82,5 +82,8 @@ def flags(scored: DataFrame, threshold: int = FLAG_SCORE) -> DataFrame:
         F.col("claim_date").alias("flag_date"))
 
 
-def flags_of_day(flagged: DataFrame, day: str) -> DataFrame:
-    return flagged.filter(F.col("flag_date") == F.lit(day).cast("date"))
+def flags_of_day(claims: DataFrame, discharges: DataFrame, day: str, **limits) -> DataFrame:
+    """Flagged claims of one day. Only that day and the six before, which F1 looks back on, are read."""
+    at = F.lit(day).cast("date")
+    recent = claims.filter(F.col("claim_date").between(F.date_sub(at, 6), at))
+    return flags(flag_rules(recent, discharges, **limits)).filter(F.col("flag_date") == at)

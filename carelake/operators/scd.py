@@ -110,8 +110,9 @@ def rebuild_type2(rows: DataFrame, key: str, tracked: Sequence[str], day: str, o
                   carried: Sequence[str] = ()) -> DataFrame:
     """Full version history from all bronze rows in one pass.
 
-    The last row of a key and day counts. That leaves at most one row per key and calendar day for the
-    windows, whatever the number of source rows behind a key. `carried` columns come along untracked.
+    The last row of a key and `day` counts. With a calendar day that leaves at most one row per key and day for the
+    windows, whatever the number of source rows behind a key; with an event time as `day`, intervals start at the time
+    and several changes of one day are all kept. `carried` columns come along untracked.
     """
     needed = dict.fromkeys([key, *tracked, *carried, day, *order])
     daily = latest_per_key(rows.select(*needed), [key, day], order)

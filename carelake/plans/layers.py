@@ -46,9 +46,10 @@ def silver_patients(dim: DataFrame | None, bronze: DataFrame, load_date: str) ->
 
 
 def with_global_ids(patients: DataFrame, ids: DataFrame) -> DataFrame:
-    """Replace the source id by the matched id."""
-    return patients.drop("global_patient_id").join(
-        ids.withColumnRenamed("record_id", "patient_id_src"), "patient_id_src")
+    """Replace the source id by the matched id; a patient without one keeps the id it has."""
+    matched = ids.select(F.col("record_id").alias("patient_id_src"), F.col("global_patient_id").alias("_matched"))
+    return patients.join(matched, "patient_id_src", "left").withColumn(
+        "global_patient_id", F.coalesce("_matched", "global_patient_id")).drop("_matched")
 
 
 def match_patients(bronze: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ def fit_shuffle(spark: SparkSession, input_bytes: int, bytes_per_task: int = BYT
     coalesced again at run time.
     """
     now = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    needed = min(-(-input_bytes // bytes_per_task), 1_000_000)
+    needed = -(-input_bytes // bytes_per_task)
     if needed > now:
         spark.conf.set("spark.sql.shuffle.partitions", str(needed))
         return needed

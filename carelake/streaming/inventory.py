@@ -27,11 +27,12 @@ _CHANGE_SCHEMA = T.StructType([
     *schemas.INVENTORY_ROW.fields,
     T.StructField("op", T.StringType()), T.StructField("txn_id", T.StringType()),
     T.StructField("ts_ms", T.LongType()), T.StructField("offset", T.LongType()),
-    T.StructField("kafka_timestamp", T.TimestampType()), T.StructField("batch_id", T.LongType()),
+    T.StructField("kafka_timestamp", T.TimestampType()), T.StructField("query_id", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
 ])
 _TABLE_SCHEMA = T.StructType([
     *schemas.INVENTORY_ROW.fields, T.StructField("_is_deleted", T.BooleanType()),
-    T.StructField("_last_batch", T.LongType())])
+    T.StructField("_marks", T.MapType(T.StringType(), T.LongType()))])
 
 
 def land_batch(root: str) -> Callable[[DataFrame, int], None]:
@@ -57,10 +58,11 @@ def _base(spark: SparkSession, root: str) -> DataFrame:
 
 def _merged(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     base = _base(spark, root)
-    upto = base.agg(F.max("_last_batch")).scalar()
+    row = base.select("_marks").first()
+    marks = F.create_map(*[F.lit(v) for pair in ((row and row["_marks"]) or {}).items() for v in pair])
     landed = read_or_empty(spark, f"{root}/changes", _CHANGE_SCHEMA)
-    fresh = landed.filter(F.col("batch_id") > F.coalesce(upto, F.lit(-1)))
-    return merge_changes(base.drop("_last_batch"), fresh, KEY, COLUMNS), landed
+    done = F.coalesce(F.try_element_at(marks.cast("map<string,bigint>"), F.col("query_id")), F.lit(-1))
+    return merge_changes(base.drop("_marks"), landed.filter(F.col("batch_id") > done), KEY, COLUMNS), landed
 
 
 def current_inventory(spark: SparkSession, root: str) -> DataFrame:
@@ -69,10 +71,14 @@ def current_inventory(spark: SparkSession, root: str) -> DataFrame:
 
 
 def compact(spark: SparkSession, root: str) -> int:
-    """Fold the landed changes into a new version of the table. Run it between streaming runs."""
+    """Fold the landed changes into a new version of the table. Run it between streaming runs.
+
+    The table remembers the last batch of every query (there is one per checkpoint, so a few).
+    """
     merged, landed = _merged(spark, root)
-    last = landed.agg(F.max("batch_id")).scalar()
-    return replace_table(merged.withColumn("_last_batch", last), f"{root}/inventory")
+    last = landed.groupBy("query_id").agg(F.max("batch_id").alias("last")).collect()
+    marks = F.create_map(*[F.lit(v) for r in last for v in (r["query_id"], r["last"])]).cast("map<string,bigint>")
+    return replace_table(merged.withColumn("_marks", marks), f"{root}/inventory")
 
 
 def critical_stock(inventory: DataFrame) -> DataFrame:

@@ -71,6 +71,16 @@ def test_vitals_stream_equals_the_batch(spark, tmp_path):
     assert spark.read.parquet(spec.folder("bronze")).count() == 5
 
 
+def test_a_new_checkpoint_keeps_the_batches_of_the_old_one(spark, tmp_path):
+    src, spec = str(tmp_path / "src"), runtime.vitals_spec(str(tmp_path), "run")
+    land(spark, src, [reading(1), reading(2)])
+    stream = lambda: parse.vitals(spark.readStream.schema(spark.read.parquet(src).schema).parquet(src), "run")
+    for name in ("a", "b"):
+        runtime.start(stream(), runtime.route_batch(spec), str(tmp_path / f"ck-{name}"), name, mode="batch").awaitTermination()
+    landed = spark.read.parquet(spec.folder("bronze"))
+    assert landed.select("query_id").distinct().count() == 2 and landed.groupBy("query_id").count().distinct().count() == 2
+
+
 def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     spec = runtime.vitals_spec(str(tmp_path), "run")
     rows = parse.vitals(log_rows(spark, VITALS), "run")
