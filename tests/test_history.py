@@ -121,6 +121,19 @@ def test_type3_moves_only_on_change(spark):
         ("d1", 7.0, 5.0, D(2024, 5, 1)), ("d2", 6.0, 4.0, D(2024, 1, 1)), ("d3", 1.0, None, D(2024, 5, 1))]
 
 
+def test_type3_starts_new_keys(spark):
+    dim = spark.createDataFrame([("d1", 5.0, None, None)], "id string, current_price double, previous_price double, price_changed_at date")
+    delta = spark.createDataFrame([("d9", 3.0)], "id string, price double")
+    assert table(scd.apply_type3(dim, delta, "id", "price", day("2024-05-01"))) == [("d1", 5.0, None, None), ("d9", 3.0, None, None)]
+
+
+def test_status_moves_of_one_day_are_all_kept(spark):
+    rows = [("c", s, dt.datetime(2024, 1, 1, h), h) for h, s in ((8, "A"), (9, "B"), (10, "A"), (11, "A"))]
+    out = scd.rebuild_type2(spark.createDataFrame(rows, "id string, status string, at timestamp, seq int"), "id", ["status"], "at", ["seq"])
+    got = sorted((r["eff_start_date"].hour, r["status"], r["is_current"]) for r in out.collect())
+    assert got == [(8, "A", 0), (9, "B", 0), (10, "A", 1)]
+
+
 def test_snapshot_is_half_open(spark, loaded):
     delta = spark.createDataFrame([("p1", "Salem")], "id string, city string")
     out = scd.apply_type2(loaded, delta, "id", ["city"], day("2024-02-01"))

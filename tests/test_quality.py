@@ -101,15 +101,17 @@ def test_unknown_entity_gets_the_sentinel(spark):
 
 
 def test_advance_marks(spark):
-    control = spark.createDataFrame(
-        [("ok", "m0", 5, 2, "r0"), ("bad", "m0", 5, 2, "r0"), ("idle", "m0", 5, 1, "r0"), ("empty", "m0", 5, 0, "r0")], CONTROL)
+    m0, m1, early = "2024-02-01 00:00:00", "2024-02-02 06:00:00", "2024-01-01 00:00:00"
+    control = spark.createDataFrame([(n, m0, 5, f, "r0") for n, f in (("ok", 2), ("bad", 2), ("idle", 1), ("empty", 0), ("late", 0))], CONTROL)
     results = spark.createDataFrame(
-        [("ok", "SUCCESS", "m1", 7, "r1"), ("bad", "FAILED", "m9", 1, "r1"), ("empty", "SUCCESS", None, 0, "r1")],
+        [("ok", "SUCCESS", m1, 7, "r1"), ("bad", "FAILED", m1, 1, "r1"), ("empty", "SUCCESS", None, 0, "r1"),
+         ("late", "SUCCESS", early, 2, "r1"), ("new", "SUCCESS", m1, 3, "r1"), ("new_bad", "FAILED", m1, 3, "r1")],
         "entity_name string, load_status string, new_watermark string, records long, run_id string")
     got = {r["entity_name"]: tuple(r)[1:] for r in incremental.advance_marks(control, results).collect()}
     assert got == {
-        "ok": ("m1", 12, 0, "r1", False), "bad": ("m0", 5, 3, "r1", True),
-        "idle": ("m0", 5, 1, "r0", False), "empty": ("m0", 5, 0, "r1", False)}
+        "ok": (m1, 12, 0, "r1", False), "bad": (m0, 5, 3, "r1", True), "idle": (m0, 5, 1, "r0", False),
+        "empty": (m0, 5, 0, "r1", False), "late": (m0, 7, 0, "r1", False),  # the mark does not move back
+        "new": (m1, 3, 0, "r1", False), "new_bad": ("1900-01-01 00:00:00", 0, 1, "r1", False)}
 
 
 def test_mark_is_exclusive_and_lookback_reads_late_rows(spark):
