@@ -36,12 +36,12 @@ BLOCK = 128
 PACKED_SHARE = 0.95
 
 #: Ids after which a segment is closed; a longer document is a segment of its own.
-SEGMENT_IDS = 1 << 20
+SEGMENT_IDS = 1 << 18
 
 END_ID = 0
 
-#: Distinct text pieces whose ids a worker remembers; then it starts anew.
-REMEMBERED = 1_000_000
+#: Distinct text pieces whose ids a worker remembers (about 200 bytes each); then it starts anew.
+REMEMBERED = 800_000
 
 SEGMENT = "part int, seg int, n_ids long, doc_ids array<bigint>, data binary"
 DECODED = "part int, seg int, doc_id bigint, at long, n_tokens long, ids_crc32 long"
@@ -242,7 +242,7 @@ def write(docs: DataFrame, scratch: Scratch, tokenizer: str, name: str = "segmen
             return row
 
         for batch in batches:
-            for run in pieces(batch, "text", 4 << 20):
+            for run in pieces(batch, "text", 1 << 20):
                 texts = run.column("text").fill_null("").to_pylist()
                 for doc_id, ids in zip(run.column("doc_id").to_pylist(), ids_of(texts), strict=True):
                     names.append(doc_id)
