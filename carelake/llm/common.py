@@ -47,6 +47,19 @@ class Scratch:
             self.spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/{name}")
 
 
+def written_place(df: DataFrame, scratch: Scratch) -> DataFrame:
+    """`df` with `place`, which sorts rows as they were written: number of the part file, file, row of the file.
+
+    Readers deal files to tasks by size, so the order of a read table is not that of its partitions. A table that is
+    not read from files is written first.
+    """
+    if df._jdf.queryExecution().analyzed().nodeName() != "LogicalRelation":
+        df = scratch.keep(df, "rows")
+    number = F.expr("try_cast(regexp_extract(_metadata.file_name, '^part-([0-9]+)', 1) AS bigint)")
+    return df.withColumn("place", F.struct(
+        number.alias("part"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")))
+
+
 def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:

@@ -11,7 +11,7 @@ and a block is `minimum uint32, width uint8, exceptions uint8`, the ids less the
 then the exceptions as `place uint8, high bits uint32`. The width is the least one that holds a given share of the
 block (`PACKED_SHARE`); what is larger leaves its low bits in its place and its high bits in the exception list.
 
-Documents are in ascending id order over the whole table: the range partition `part` and the segment number `seg` order
+Documents are in ascending id order over the whole table, or in that of a column the caller names: the range partition `part` and the segment number `seg` order
 the records. Null and empty texts are one end id. Null ids come first; rows with equal ids are ordered by text.
 Repeated rows are written each. An empty table gives an empty result. Other columns are neither read nor written.
 """
@@ -216,8 +216,9 @@ def unpack(data: bytes, first: int = 0, last: int | None = None) -> tuple[np.nda
 
 # --- tables --------------------------------------------------------------------------------------------------------
 
-def write(docs: DataFrame, scratch: Scratch, tokenizer: str, name: str = "segments") -> DataFrame:
-    """Encode `text`, append the end id, and write segments in ascending `doc_id` order; returns the table read back."""
+def write(docs: DataFrame, scratch: Scratch, tokenizer: str, name: str = "segments", order: str | None = None) -> DataFrame:
+    """Encode `text`, append the end id, and write segments in the order of the column `order`, without one in ascending
+    `doc_id` order; returns the table read back."""
     from tokenizers import Tokenizer  # noqa: F401  the library is needed on every executor; fail here if it is not there
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,9 +254,9 @@ def write(docs: DataFrame, scratch: Scratch, tokenizer: str, name: str = "segmen
         if held:
             yield segment()
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ordered = rows.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *([order] if order else []))
+    by = [F.col(order)] if order else [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    ordered = rows.repartitionByRange(*by).sortWithinPartitions(*by).select("doc_id", "text")
     return scratch.keep(arrow(ordered, encode, SEGMENT), name)
 
 
@@ -293,7 +294,7 @@ def starts(segments: DataFrame) -> DataFrame:
         ahead, "part").select("part", "seg", (F.col("inside") + F.col("ahead")).alias("first_id"))
 
 
-def digest(docs: DataFrame, scratch: Scratch, tokenizer: str) -> DataFrame:
-    segments = write(docs, scratch, tokenizer)
+def digest(docs: DataFrame, scratch: Scratch, tokenizer: str, order: str | None = None) -> DataFrame:
+    segments = write(docs, scratch, tokenizer, order=order)
     return read(segments).join(starts(segments), ["part", "seg"]).select(
         "doc_id", (F.col("first_id") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")

@@ -2,7 +2,7 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; between two stages the result is written as Parquet and
 read again. All but the last return the columns of documents. Rows with a null id take part in every stage
-but the grouping of near copies, which they pass.
+but the grouping of near copies, which they pass. The mix writes its rows in training order, and the token blocks keep it.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from carelake.llm import dart, decontam, mixing, queries, rules, tokens
-from carelake.llm.common import Scratch
+from carelake.llm.common import Scratch, written_place
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -33,15 +33,20 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix reads them; the words that a last reading is cut to come first in the text.
 
-    A document that is read twice and a half is two rows with the whole text and one with the first half of its words.
+    A document that is read twice and a half is two rows with the whole text and one with the first half of its words,
+    each at its position of the curriculum.
     """
     mixed = mixing.curriculum(docs.select(*COLUMNS), Scratch(spark, "pipeline-mix"))
     return mixing.repeated(docs.select(*COLUMNS), mixed).select(*COLUMNS)
 
 
 def token_blocks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Per row: where its ids start in the written blocks, how many there are, and their checksum."""
-    return tokens.digest(docs, Scratch(spark, "pipeline-tokens"), queries.vocabulary())
+    """Per row: where its ids start in the written blocks, how many there are, and their checksum.
+
+    The blocks hold the rows in the order in which they were written.
+    """
+    scratch = Scratch(spark, "pipeline-tokens")
+    return tokens.digest(written_place(docs, scratch), scratch, queries.vocabulary(), order="place")
 
 
 STAGES = [

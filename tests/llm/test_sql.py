@@ -89,6 +89,23 @@ def test_rising_weight_comes_late(spark, scratch):
     assert mean["a"] < mean["b"] < mean["c"] and order.position.is_monotonic_increasing
 
 
+def test_pipeline_rows_and_blocks_are_in_training_order(spark, scratch):
+    import corpus_pipeline
+
+    rows = [(s * 1000 + i, f"t{s} {i} " * (1 + i % 7), "en", "abc"[s], 9) for i in range(300) for s in range(3)] + [
+        (0, "t0 0 ", "en", "a", 9), (None, "no id", "en", "b", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    stage = dict(corpus_pipeline.STAGES)
+    want = [r.doc_id for r in mixing.training_order(mixing.curriculum(docs, scratch)).collect()]
+    assert want != sorted(want, key=str)
+    mixed = stage["mix"](spark, docs, SMALL)
+    assert [r.doc_id for r in mixed.collect()] == want
+    read = scratch.keep(mixed, "mixed")
+    for given in (read, mixed):
+        blocks = stage["token_blocks"](spark, given, SMALL).orderBy("start").collect()
+        assert [r.doc_id for r in blocks] == want
+
+
 def test_empty_mix(empty, scratch):
     assert mixing.digest(empty, scratch).count() == 0
 
