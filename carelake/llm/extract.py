@@ -8,8 +8,8 @@ Nearest-URL differencing finds what has no mark. Pages are sorted by host and pa
 stands beside those whose paths share the most with its own. Its lines are aligned with those of the nearer of its two
 neighbours by longest common subsequence, and lines in the common part are template: they are deleted. Two limits:
 a neighbour that shares more than half of the text is a copy, not a template, and the other neighbour is taken
-instead; and inside a marked article, only lines in bare containers (`div`, `span`, `a`, ...) are deleted, because a paragraph,
-heading or list item that two articles share is text of both.
+instead; and inside a marked article, a paragraph, heading or list item that two articles share can be text of both, so
+lines that are not in bare containers (`div`, `span`, `a`, ...) are deleted only if `SHARED_BY` pages of the host have them.
 
 Pages of a host with equal lines are one page for the pairing; pages without a line take no part in it. Hosts of any size are cut by the range partitioning. Null
 or empty html gives an empty text; a null URL or one without "://" counts as host and path "". Repeated rows give
@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from carelake.llm import urls
 from carelake.llm.common import Scratch, arrow
 from carelake.llm.kernels import pieces
+from carelake.operators.joins import join_summary
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea noscript template iframe xmp noembed noframes svg math object".split())
@@ -53,6 +54,9 @@ NAMES = frozenset(
 WRAPPERS = frozenset("html body main".split())
 NEGATED = frozenset("no has with without".split())
 
+#: Pages of a host, unlike in their lines, that have to share a paragraph of their articles before it can be template.
+SHARED_BY = 5
+
 TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*)(?:>|\Z)|[^<]+|<", re.S)
@@ -168,7 +172,7 @@ def lines(html: str | None) -> list[tuple[str, int, bool]]:
 
 
 def content(parsed: list[tuple[str, int, bool]]) -> tuple[np.ndarray, np.ndarray]:
-    """(lines that are content by structure, those of them that differencing may delete)."""
+    """(lines that are content by structure, those of them that differencing may delete however few pages share them)."""
     zones = np.array([z for _, z, _ in parsed], np.int64)
     flow = np.array([f for _, _, f in parsed], bool)
     for mark in (ARTICLE, MAIN, BODY):
@@ -253,6 +257,14 @@ def outlines(pages: DataFrame) -> DataFrame:
     return arrow(rows, outline, "key long, host string, path string, hashes array<bigint>, sizes array<int>, kinds array<int>")
 
 
+def often_shared(placed: DataFrame) -> DataFrame:
+    """Per host and outline: the flowing lines of its article that `SHARED_BY` outlines of the host have."""
+    flowing = F.filter(F.arrays_zip("hashes", "kinds"), lambda x: x["kinds"] == 1)
+    rows = placed.select("host", "same", F.explode(F.array_distinct(F.transform(flowing, lambda x: x["hashes"]))).alias("line"))
+    shared = rows.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= SHARED_BY).drop("n")
+    return join_summary(rows, shared, ["host", "line"], "inner").groupBy("host", "same").agg(F.collect_set("line").alias("often"))
+
+
 def deletions(pages: DataFrame, scratch: Scratch) -> DataFrame:
     """`key` of a page and `gone`, the numbers of its template lines; pages without any are left out."""
     every = scratch.keep(outlines(pages).withColumn("same", F.xxhash64("host", "hashes")), "outlines")
@@ -266,6 +278,9 @@ def deletions(pages: DataFrame, scratch: Scratch) -> DataFrame:
     ahead = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     numbered = placed.withColumn("part", part).join(sizes.select("part", ahead.alias("ahead")), "part").withColumn(
         "nth", F.col("ahead") + F.col("id").bitwiseAND(F.lit((1 << 33) - 1)))
+    kinds = F.zip_with("kinds", "hashes", lambda k, h: F.when((k == 1) & F.array_contains("often", h), 3).otherwise(k))
+    numbered = numbered.join(often_shared(placed), ["host", "same"], "left").withColumn(
+        "kinds", F.when(F.col("often").isNull(), F.col("kinds")).otherwise(kinds))
     numbered = scratch.keep(numbered.select("nth", "same", "host", "path", "hashes", "sizes", "kinds"), "numbered")
     beside = [numbered.select((F.col("nth") + step).alias("nth"), F.col("host").alias(f"host_{s}"),
                               F.col("path").alias(f"path_{s}"), F.col("hashes").alias(f"hashes_{s}"))

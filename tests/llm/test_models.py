@@ -123,6 +123,18 @@ def test_template_lines_go_copies_stay(spark, scratch):
     assert extract.main_text(df.limit(0), type(scratch)(spark, "none")).count() == 0
 
 
+def test_template_paragraphs_of_marked_articles_go_quotes_stay(spark, scratch):
+    own = "paragraph {0} which nobody else has, long enough for the page number {0} of this host"
+    quote = "a line that two pages quote"
+    rows = [(i, f"http://art.org/{i}", f"<body><article><h1>Head {i}</h1><p>{own.format(i)}</p>{f'<p>{quote}</p>' if i in (3, 4) else ''}"
+             f"<ul><li>Read next</ul><p>Subscribe now</p></article></body>") for i in range(extract.SHARED_BY + 2)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    text = {r.page_id: r.text for r in extract.main_text(df, scratch).collect()}
+    assert text == {i: f"Head {i} {own.format(i)}" + (f" {quote}" if i in (3, 4) else "") for i, _, _ in rows}
+    few = {r.page_id: r.text for r in extract.main_text(df.where("page_id < 2"), type(scratch)(spark, "few")).collect()}
+    assert few == {i: f"Head {i} {own.format(i)} Read next Subscribe now" for i in range(2)}
+
+
 def test_languages(small, odd, empty):
     docs = small("documents")
     got = langid.predicted(docs, langid.learn(docs)).join(docs.select("doc_id", "lang"), "doc_id").collect()
