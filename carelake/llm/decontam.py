@@ -11,7 +11,7 @@ in ten bits on average, with a deviation of three.
 A window that has no shingle with any item in common has similarity 0 to all of them; no fingerprint is computed for it.
 
 Items are broadcast in slices of at most `SLICE_BYTES` of text, however many there are; every slice meets all documents.
-Null and empty texts and items match nothing. Rows with a null id are searched like others. Repeated rows give repeated
+Null and empty texts and items match nothing. Rows and items with a null id are searched like others. Repeated rows give repeated
 results, repeated items (same id and text) one. Other columns are not read, and are kept by `clean`.
 """
 
@@ -158,7 +158,7 @@ def _gather(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[n
 
 
 def slices(benchmark: DataFrame, radius: int, least: float) -> Iterator[Items]:
-    rows = benchmark.select("item_id", "text").where("text is not null and item_id is not null").distinct()
+    rows = benchmark.select("item_id", "text").where("text is not null").distinct()
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     for i, n in blocks(total, SLICE_BYTES):
         part = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i).orderBy("item_id", "text")

@@ -222,3 +222,11 @@ def test_multi_index_misses_nothing_within_the_radius():
     far = np.array([[bin(int(w ^ i)).count("1") for i in items] for w in windows])
     assert set(zip(*map(np.ndarray.tolist, decontam.within(windows, items, 20)), strict=True)) == {
         (int(a), int(b)) for a, b in zip(*np.nonzero(far <= 20), strict=True)}
+
+
+def test_items_with_a_null_id_are_found(spark):
+    item = prose(20, 30)
+    docs = spark.createDataFrame([(1, f"{prose(21, 40)} {item} {prose(22, 40)}"), (2, prose(23, 100))], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, item), (7, prose(24, 30))], "item_id long, text string")
+    assert [tuple(r) for r in decontam.found(docs, bench).collect()] == [(1, None, 1.0, 40)]
+    assert [r.doc_id for r in decontam.clean(docs, bench).collect()] == [2]
