@@ -72,15 +72,20 @@ def shared_folder(spark: SparkSession) -> str:
 _SHIPPED: set[str] = set()
 
 
-def arrow(df: DataFrame, work: Callable, schema: str) -> DataFrame:
-    """`mapInArrow`, once this package is on the executors as an archive of its sources."""
-    sc = df.sparkSession.sparkContext
+def ship(spark: SparkSession) -> None:
+    """Put this package on the executors, as an archive of its sources."""
+    sc = spark.sparkContext
     if sc.applicationId not in _SHIPPED:
         package = Path(__file__).resolve().parents[1]
         folder = tempfile.mkdtemp(prefix="llm-sources-")  # the driver serves the archive as long as it runs
         shutil.copytree(package, f"{folder}/src/{package.name}", ignore=shutil.ignore_patterns("__pycache__"))
         sc.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", f"{folder}/src"))
         _SHIPPED.add(sc.applicationId)
+
+
+def arrow(df: DataFrame, work: Callable, schema: str) -> DataFrame:
+    """`mapInArrow`, once this package is on the executors."""
+    ship(df.sparkSession)
     return df.mapInArrow(work, schema)
 
 
