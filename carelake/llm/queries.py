@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.llm import ctw, dart, decontam, extract, langid, mixing, rules, suffixes, tokens, trees, urls, whitening
+from carelake.llm import ctw, dart, decontam, extract, langid, mixing, rules, suffixes, tokens, trees, trie, urls, whitening
 from carelake.llm.common import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,10 @@ def op10_boosted_trees(spark: SparkSession, folder: str) -> DataFrame:
     return trees.scored(docs, trees.learn(docs, table(spark, folder, "labels")))
 
 
+def op11_z_fast_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.trie(table(spark, folder, "conversations"), Scratch(spark, "op11"))
+
+
 def op12_context_tree(spark: SparkSession, folder: str) -> DataFrame:
     return ctw.scored(table(spark, folder, "documents"), Scratch(spark, "op12"))
 
@@ -75,8 +79,8 @@ def op13_bit_sliced_whitening(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_page_difference, op2_redirect_equivalence, op3_sparse_suffix_array, op4_token_blocks, op5_dart_minhash, op6_curriculum_mix, op7_rule_ledger,
-    op8_simhash_windows, op9_string_kernel, op10_boosted_trees, op12_context_tree,
-    op13_bit_sliced_whitening)}
+    op8_simhash_windows, op9_string_kernel, op10_boosted_trees, op11_z_fast_trie,
+    op12_context_tree, op13_bit_sliced_whitening)}
 
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
@@ -90,4 +94,5 @@ ORACLES: dict[str, str] = {
     "op2_redirect_equivalence": urls.SQL,
     "op6_curriculum_mix": mixing.SQL,
     "op7_rule_ledger": rules.SQL,
+    "op11_z_fast_trie": trie.SQL,
 }
