@@ -219,9 +219,11 @@ _SCORED_SQL = """
         FROM near JOIN formed a ON a.record_id = x JOIN formed b ON b.record_id = y)"""
 _PAIRS_SQL = f"""
     WITH {_SCORED_SQL},
-    best AS (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY match_id) AS nth FROM scored WHERE score >= 0.7)
-    SELECT record_id, match_id, score, first_similarity, last_similarity,
-           CASE WHEN score >= 0.85 THEN 'MERGE' ELSE 'REVIEW' END AS tier FROM best WHERE nth = 1"""
+    best AS (SELECT record_id, max(score) AS top FROM scored WHERE score >= 0.7 GROUP BY record_id),
+    found AS (SELECT s.record_id, min(match_id) AS match_id FROM scored s JOIN best b ON s.record_id = b.record_id AND s.score = b.top GROUP BY s.record_id)
+    SELECT s.record_id, s.match_id, s.score, s.first_similarity, s.last_similarity,
+           CASE WHEN s.score >= 0.85 THEN 'MERGE' ELSE 'REVIEW' END AS tier
+    FROM scored s JOIN found f ON s.record_id = f.record_id AND s.match_id = f.match_id"""
 
 
 @query("match_pairs", _PAIRS_SQL)
@@ -250,6 +252,10 @@ def duplicate_rate(t: Tables):
     return matching.duplicate_rate(matching.assign_global_ids(_fields(t)))
 
 
-@query("review_queue", _PAIRS_SQL + " AND score < 0.85")
+@query("review_queue", _CLUSTER_SQL + """
+    SELECT least(x.global_patient_id, y.global_patient_id) AS left_id, greatest(x.global_patient_id, y.global_patient_id) AS right_id,
+           max(score) AS score, CAST(NULL AS VARCHAR) AS tie_id
+    FROM scored s JOIN assigned x ON x.record_id = s.record_id JOIN assigned y ON y.record_id = s.match_id
+    WHERE score >= 0.7 AND score < 0.85 AND x.global_patient_id <> y.global_patient_id GROUP BY 1, 2""")
 def review_queue(t: Tables):
-    return matching.review_queue(matching.match_links(_fields(t)))
+    return matching.review_queue(_fields(t))

@@ -72,24 +72,79 @@ def components(ids, pairs):
     return {i: root(i) for i in ids}
 
 
-def test_clusters_equal_all_pairs(people):
+def test_patterns_are_all_ways_to_agree_that_reach_review():
+    for agreed, score in agreement_patterns():
+        reached = [s for pattern, s in matching.PATTERNS if set(pattern) <= agreed]
+        assert max(reached, default=0) == (score if score >= matching.REVIEW_SCORE else 0), (agreed, score)
+
+
+#: Blocks in pairs, all grouped, and some of both.
+SIZES = [1000, 1, 30]
+
+
+@pytest.mark.parametrize("small", SIZES)
+def test_clusters_equal_all_pairs(people, small):
     rows = people.collect()
     merge = [(a["record_id"], b["record_id"]) for a, b in itertools.combinations(rows, 2) if pair_score(a, b) >= 0.85]
     want = components([r["record_id"] for r in rows], merge)
-    got = {r["record_id"]: r["global_patient_id"] for r in matching.assign_global_ids(people).collect()}
+    got = {r["record_id"]: r["global_patient_id"] for r in matching.assign_global_ids(people, small=small).collect()}
     assert got == {i: f"UPMI-{m:08d}" for i, m in want.items()}
 
 
-def test_every_record_is_beside_its_smallest_match(people):
+@pytest.mark.parametrize("small", SIZES)
+def test_every_record_is_beside_its_best_match(people, small):
     rows = people.collect()
     want = {}
     for a, b in itertools.permutations(rows, 2):
         score = pair_score(a, b)
         if score >= 0.70:
-            old = want.get(a["record_id"], (b["record_id"], score))
-            want[a["record_id"]] = min(old, (b["record_id"], score))
-    got = {r["record_id"]: (r["match_id"], r["score"]) for r in matching.match_links(people).collect()}
+            want[a["record_id"]] = min(want.get(a["record_id"], (-score, b["record_id"])), (-score, b["record_id"]))
+    got = {r["record_id"]: (-r["score"], r["match_id"]) for r in matching.match_links(people, small).collect()}
     assert got == want and want
+    tiers = {r["tier"] for r in matching.match_links(people, small).collect()}
+    assert tiers == {"MERGE", "REVIEW"}
+
+
+def ties(people):
+    """All REVIEW pairs between different clusters, with the highest score."""
+    rows = people.collect()
+    merge = [(a["record_id"], b["record_id"]) for a, b in itertools.combinations(rows, 2) if pair_score(a, b) >= 0.85]
+    cluster = {i: f"UPMI-{m:08d}" for i, m in components([r["record_id"] for r in rows], merge).items()}
+    want = {}
+    for a, b in itertools.combinations(rows, 2):
+        x, y = sorted((cluster[a["record_id"]], cluster[b["record_id"]]))
+        if x != y and 0.70 <= pair_score(a, b) < 0.85:
+            want[x, y] = max(want.get((x, y), 0), pair_score(a, b))
+    return want
+
+
+@pytest.mark.parametrize("small", SIZES)
+def test_review_queue_has_every_tie_between_clusters(people, small):
+    got = matching.review_queue(people, small=small, wide=1000).collect()
+    assert {(r.left_id, r.right_id): r.score for r in got} == ties(people) and len(got) == len(ties(people)) > 0
+
+
+def test_wide_ties_are_listed_by_member(people):
+    got = matching.review_queue(people, small=1, wide=2).collect()
+    covered = {(r.left_id, r.right_id) for r in got if r.tie_id is None}
+    groups = {}
+    for r in got:
+        if r.tie_id is not None:
+            groups.setdefault(r.tie_id, set()).update((r.left_id, r.right_id))
+    assert groups
+    for members in groups.values():
+        covered |= set(itertools.combinations(sorted(members), 2))
+    assert covered == set(ties(people))
+
+
+def test_a_crowd_in_review_stays_in_proportion(spark):
+    """Two thousand records that agree on all but the last name: one tie, not two million pairs."""
+    n = 2000
+    rows = spark.range(n).select(
+        F.col("id").alias("record_id"), F.lit("BABY").alias("f"), F.concat(F.lit("X"), F.sha2(F.col("id").cast("string"), 256)).alias("l"),
+        F.lit("1900").alias("b"), F.lit("9000000000").alias("p"), F.lit("0000").alias("h"))
+    got = matching.review_queue(matching.match_fields(rows, "record_id", "f", "l", "b", "p", "h")).collect()
+    assert len(got) == n - 1 and {r.left_id for r in got} == {"UPMI-00000000"} and len({r.tie_id for r in got}) == 1
 
 
 @pytest.mark.parametrize("a, b, agree", [
