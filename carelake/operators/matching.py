@@ -85,7 +85,7 @@ def _blocks(fields: DataFrame) -> DataFrame:
             for i, (x, y) in enumerate(STRONG)]
     members = fields.select("record_id", *FIELDS, F.explode(F.array_compact(F.array(*keys))).alias("_key"))
     sizes = members.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    return join_summary(members, sizes, ["_key"], "inner")
+    return settled(join_summary(members, sizes, ["_key"], "inner"))
 
 
 def _pairs(blocks: DataFrame, small: int) -> DataFrame:
@@ -101,8 +101,10 @@ def _pairs(blocks: DataFrame, small: int) -> DataFrame:
         _similarity(F.col("x.last"), F.col("y.last")).alias("last_similarity")).dropDuplicates(["a", "b"])
 
 
-def _crowd(fields: DataFrame, blocks: DataFrame, small: int) -> DataFrame:
-    """Records of blocks that are too large for pairs."""
+def _crowd(fields: DataFrame, blocks: DataFrame, small: int) -> DataFrame | None:
+    """Records of blocks that are too large for pairs; none, and no grouping to plan, without such blocks."""
+    if blocks.where(F.col("_n") > small).isEmpty():
+        return None
     return fields.join(blocks.where(F.col("_n") > small).select("record_id").distinct(), "record_id", "left_semi")
 
 
@@ -166,6 +168,14 @@ def match_links(fields: DataFrame, small: int = SMALL_BLOCK) -> DataFrame:
                    F.struct(F.col("b").alias("record_id"), F.col("a").alias("match_id")))
     near = pairs.select(F.inline(ends), "score", "first_similarity", "last_similarity")
     crowd = _crowd(fields, blocks, small)
+    links = near if crowd is None else near.unionByName(_best_of_groups(crowd))
+    rest = F.struct("match_id", "score", "first_similarity", "last_similarity")
+    best = links.groupBy("record_id").agg(F.min_by(rest, F.struct(-F.col("score"), "match_id")).alias("m"))
+    return best.select("record_id", "m.*", tier(F.col("m.score")).alias("tier"))
+
+
+def _best_of_groups(crowd: DataFrame) -> DataFrame:
+    """The best match of every record of a crowd, from the groups it is in."""
     members = _members(crowd, PATTERNS)
     lowest = members.groupBy("_key").agg(F.min("record_id").alias("a"), F.max("record_id").alias("z")).where("a <> z")
     found = join_summary(members, lowest, ["_key"], "inner")
@@ -175,14 +185,11 @@ def match_links(fields: DataFrame, small: int = SMALL_BLOCK) -> DataFrame:
     best = join_summary(found, second, ["_key"], "inner").select("record_id", other.alias("match_id"), "score").groupBy("record_id").agg(
         F.min_by("match_id", F.struct(-F.col("score"), "match_id")).alias("match_id"))
     row = F.struct("record_id", *FIELDS)
-    far = best.join(crowd.select("record_id", row.alias("x")), "record_id").join(
+    return best.join(crowd.select("record_id", row.alias("x")), "record_id").join(
         crowd.select(F.col("record_id").alias("match_id"), row.alias("y")), "match_id").select(
         "record_id", "match_id", _score("x", "y").alias("score"),
         _similarity(F.col("x.first"), F.col("y.first")).alias("first_similarity"),
         _similarity(F.col("x.last"), F.col("y.last")).alias("last_similarity"))
-    rest = F.struct("match_id", "score", "first_similarity", "last_similarity")
-    links = near.unionByName(far).groupBy("record_id").agg(F.min_by(rest, F.struct(-F.col("score"), "match_id")).alias("m"))
-    return links.select("record_id", "m.*", tier(F.col("m.score")).alias("tier"))
 
 
 def tier(score: Column) -> Column:
@@ -200,11 +207,13 @@ def assign_global_ids(fields: DataFrame, prefix: str = "UPMI-", small: int = SMA
 
 
 def _assigned(fields: DataFrame, blocks: DataFrame, pairs: DataFrame, prefix: str, small: int) -> DataFrame:
-    members = _members(_crowd(fields, blocks, small), [(rule, MERGE_SCORE) for rule in MERGE_RULES])
-    anchors = members.groupBy("_key").agg(F.min("record_id").alias("a"), F.max("record_id").alias("z")).where("a <> z")
-    stars = join_summary(members, anchors, ["_key"], "inner").select("a", F.col("record_id").alias("b"))
     merged = pairs.where(F.col("score") >= MERGE_SCORE).select("a", "b")
-    clusters = connected_components(merged.unionByName(stars), lambda df, _: settled(df))
+    crowd = _crowd(fields, blocks, small)
+    if crowd is not None:
+        members = _members(crowd, [(rule, MERGE_SCORE) for rule in MERGE_RULES])
+        anchors = members.groupBy("_key").agg(F.min("record_id").alias("a"), F.max("record_id").alias("z")).where("a <> z")
+        merged = merged.unionByName(join_summary(members, anchors, ["_key"], "inner").select("a", F.col("record_id").alias("b")))
+    clusters = connected_components(merged, lambda df, _: settled(df))
     found = fields.select("record_id").join(clusters.withColumnRenamed("node", "record_id"), "record_id", "left")
     return found.select("record_id", global_id(F.coalesce("component", "record_id"), prefix).alias("global_patient_id"))
 
@@ -223,8 +232,11 @@ def review_queue(fields: DataFrame, prefix: str = "UPMI-", small: int = SMALL_BL
     two = assigned.select(F.col("record_id").alias("b"), F.col("global_patient_id").alias("y"))
     near = pairs.where(F.col("score") < MERGE_SCORE).join(one, "a").join(two, "b").where("x <> y").select(
         F.least("x", "y").alias("left_id"), F.greatest("x", "y").alias("right_id"), "score")
+    crowd = _crowd(fields, blocks, small)
+    if crowd is None:
+        return near.groupBy("left_id", "right_id").agg(F.max("score").alias("score")).withColumn("tie_id", F.lit(None).cast("string"))
     # Groups of a crowd as sets of clusters; of groups with the same set, the one with the highest score is kept.
-    members = _members(_crowd(fields, blocks, small), PATTERNS).join(assigned, "record_id").select(
+    members = _members(crowd, PATTERNS).join(assigned, "record_id").select(
         "_key", "score", F.col("global_patient_id").alias("id")).distinct()
     sets = members.groupBy("_key").agg(
         F.count(F.lit(1)).alias("n"), F.min("id").alias("least"), F.max("score").alias("score"),
