@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from carelake.catalog.bindings import ORDERS_AS_OF, Tables
@@ -9,6 +11,8 @@ from carelake.catalog.registry import query
 from carelake.catalog.relational import plan_events, plan_versions
 from carelake.functions.text import record_hash
 from carelake.operators import cdc, matching, scd
+from carelake.session import use_checkpoint_dir
+from carelake.sources import buckets
 
 
 @query("scd1_apply", """
@@ -35,18 +39,33 @@ def scd1_apply(t: Tables):
 _HASH = "sha256(concat_ws('|', coalesce(city, '∅'), coalesce(plan, '∅')))"
 
 
-@query("scd2_apply", f"""
+_SCD2_SQL = f"""
     WITH base AS (SELECT global_patient_id AS person_id, city, insurance_plan_id AS plan, balance FROM patients),
     rows AS (
         SELECT person_id, 'UNKNOWN' AS city, plan, DATE '1990-01-01' AS eff_start_date, DATE '1995-01-01' AS eff_end_date, 0 AS is_current FROM base
         UNION ALL SELECT person_id, city, plan, DATE '1995-01-01', CASE WHEN balance < 0 THEN DATE '2001-12-31' END, CASE WHEN balance < 0 THEN 0 ELSE 1 END FROM base
         UNION ALL SELECT person_id, city, 'UNINSURED', DATE '2001-12-31', NULL, 1 FROM base WHERE balance < 0
         UNION ALL SELECT 'SUP-' || s_suppkey, n_name, NULL, DATE '2001-12-31', NULL, 1 FROM supplier JOIN nation ON s_nationkey = n_nationkey)
-    SELECT person_id, city, plan, eff_start_date, eff_end_date, CAST(is_current AS INTEGER) AS is_current, {_HASH} AS record_hash FROM rows""")
+    SELECT person_id, city, plan, eff_start_date, eff_end_date, CAST(is_current AS INTEGER) AS is_current, {_HASH} AS record_hash FROM rows"""
+
+
+@query("scd2_apply", _SCD2_SQL)
 def scd2_apply(t: Tables):
     return scd.apply_type2(_dimension(t), _delta(t), "person_id", ["city", "plan"], F.lit(ORDERS_AS_OF).cast("date"))
 
 
+@query("scd2_bucketed", _SCD2_SQL)
+def scd2_bucketed(t: Tables):
+    """The same load published by bucket, and read back."""
+    path = f"{use_checkpoint_dir(t.spark)}/scd2-{uuid.uuid4().hex}"
+    closed = F.col("is_current") == 0
+    buckets.create(_dimension(t), path, "person_id", 16, closed)
+    as_of = F.lit(ORDERS_AS_OF).cast("date")
+    buckets.merge(path, _delta(t), ORDERS_AS_OF, lambda now, delta: scd.apply_type2(
+        now, delta, "person_id", ["city", "plan"], as_of), closed)
+    return buckets.read(t.spark, path)
+
+
 @query("scd2_counts", """
     SELECT (SELECT count(*) FROM supplier) AS new_keys, count(*) FILTER (c_acctbal < 0) AS expired_rows,
            2 * count(*) + count(*) FILTER (c_acctbal < 0) + (SELECT count(*) FROM supplier) AS total_rows
@@ -166,7 +185,7 @@ def cdc_latest(t: Tables):
     return cdc.latest_changes(rows, "inventory_id")
 
 
-@query("cdc_merge", """
+_MERGE_SQL = """
     WITH target AS (SELECT c_custkey AS inventory_id, c_acctbal AS quantity, c_mktsegment AS payload, c_acctbal < 0 AS _is_deleted FROM customer),
     last AS (SELECT inventory_id, arg_max(op, "offset") AS op,
                     max("offset") FILTER (op <> 'd') AS image_offset FROM changes GROUP BY inventory_id),
@@ -177,12 +196,30 @@ def cdc_latest(t: Tables):
            CASE WHEN i.has_image THEN i.payload ELSE t.payload END AS payload,
            CASE WHEN i.op IS NULL THEN t._is_deleted ELSE i.op = 'd' END AS _is_deleted
     FROM target t FULL OUTER JOIN image i ON t.inventory_id = i.inventory_id
-    WHERE t.inventory_id IS NOT NULL OR i.has_image""")
-def cdc_merge(t: Tables):
-    target = t.raw("customer").select(
+    WHERE t.inventory_id IS NOT NULL OR i.has_image"""
+
+
+def _target(t: Tables):
+    return t.raw("customer").select(
         F.col("c_custkey").alias("inventory_id"), F.col("c_acctbal").alias("quantity"),
         F.col("c_mktsegment").alias("payload"), (F.col("c_acctbal") < 0).alias("_is_deleted"))
-    return cdc.merge_changes(target, t.changes, "inventory_id", ["quantity", "payload"])
+
+
+@query("cdc_merge", _MERGE_SQL)
+def cdc_merge(t: Tables):
+    return cdc.merge_changes(_target(t), t.changes, "inventory_id", ["quantity", "payload"])
+
+
+@query("cdc_bucketed", _MERGE_SQL)
+def cdc_bucketed(t: Tables):
+    """The changes in two loads, each published by bucket."""
+    path = f"{use_checkpoint_dir(t.spark)}/cdc-{uuid.uuid4().hex}"
+    buckets.create(_target(t), path, "inventory_id", 16)
+    late = F.col("ts_ms") >= F.lit("2024-01-16").cast("timestamp_ntz")
+    for load, part in (("1", ~late), ("2", late)):
+        buckets.merge(path, t.changes.where(part), load, lambda now, changes: cdc.merge_changes(
+            now, changes, "inventory_id", ["quantity", "payload"]))
+    return buckets.read(t.spark, path)
 
 
 @query("cdc_inserts", """

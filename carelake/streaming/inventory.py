@@ -1,7 +1,8 @@
 """Pharmacy change stream: cheap micro-batches, merge when the table is read or compacted.
 
 A batch only appends its own parsed changes, so its cost follows the batch and not the table. The current
-table is the last compacted version merged with the changes landed since; `compact` folds them in.
+table is the compacted one merged with the changes landed since; `compact` folds them in, and rewrites only the
+buckets whose keys have changed.
 """
 
 from __future__ import annotations
@@ -14,9 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelake.operators.cdc import merge_changes
-from carelake.sources import schemas
+from carelake.sources import buckets, schemas
 from carelake.sources.readers import read_or_empty
-from carelake.sources.sinks import current_version, read_current, replace_table
 from carelake.streaming import parse
 from carelake.streaming.runtime import write_batch
 
@@ -30,9 +30,7 @@ _CHANGE_SCHEMA = T.StructType([
     T.StructField("kafka_timestamp", T.TimestampType()), T.StructField("query_id", T.StringType()),
     T.StructField("batch_id", T.LongType()),
 ])
-_TABLE_SCHEMA = T.StructType([
-    *schemas.INVENTORY_ROW.fields, T.StructField("_is_deleted", T.BooleanType()),
-    T.StructField("_marks", T.MapType(T.StringType(), T.LongType()))])
+_TABLE_SCHEMA = T.StructType([*schemas.INVENTORY_ROW.fields, T.StructField("_is_deleted", T.BooleanType())])
 
 
 def land_batch(root: str) -> Callable[[DataFrame, int], None]:
@@ -51,34 +49,41 @@ def land_batch(root: str) -> Callable[[DataFrame, int], None]:
 
 def _base(spark: SparkSession, root: str) -> DataFrame:
     path = f"{root}/inventory"
-    if current_version(spark, path) is None:
+    if not buckets.exists(spark, path):
         return spark.createDataFrame([], _TABLE_SCHEMA)
-    return read_current(spark, path)
+    return buckets.read(spark, path)
 
 
-def _merged(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    base = _base(spark, root)
-    row = base.select("_marks").first()
-    marks = F.create_map(*[F.lit(v) for pair in ((row and row["_marks"]) or {}).items() for v in pair])
+def _fresh(spark: SparkSession, root: str) -> DataFrame:
+    """Changes that no compaction has folded in: of every query, those after the last batch it was asked for."""
     landed = read_or_empty(spark, f"{root}/changes", _CHANGE_SCHEMA)
-    done = F.coalesce(F.try_element_at(marks.cast("map<string,bigint>"), F.col("query_id")), F.lit(-1))
-    return merge_changes(base.drop("_marks"), landed.filter(F.col("batch_id") > done), KEY, COLUMNS), landed
+    if not buckets.exists(spark, f"{root}/inventory"):
+        return landed
+    # A mark for every query, of which there is one per checkpoint.
+    marks = buckets.loads(spark, f"{root}/inventory").select(F.explode("notes").alias("query_id", "mark")).groupBy("query_id").agg(
+        F.max(F.col("mark").cast("long")).alias("mark"))
+    known = landed.join(F.broadcast(marks), "query_id", "left")
+    return known.where(F.col("batch_id") > F.coalesce("mark", F.lit(-1))).drop("mark")
 
 
 def current_inventory(spark: SparkSession, root: str) -> DataFrame:
     """Inventory as of the last landed batch; deleted rows carry `_is_deleted`."""
-    return _merged(spark, root)[0]
+    return merge_changes(_base(spark, root), _fresh(spark, root), KEY, COLUMNS)
 
 
-def compact(spark: SparkSession, root: str) -> int:
-    """Fold the landed changes into a new version of the table. Run it between streaming runs.
+def compact(spark: SparkSession, root: str) -> list[int]:
+    """Fold the landed changes into the table; returns the buckets that were rewritten. Run it between streaming runs.
 
-    The table remembers the last batch of every query (there is one per checkpoint, so a few).
+    The log of loads remembers the last batch of every query.
     """
-    merged, landed = _merged(spark, root)
-    last = landed.groupBy("query_id").agg(F.max("batch_id").alias("last")).collect()
-    marks = F.create_map(*[F.lit(v) for r in last for v in (r["query_id"], r["last"])]).cast("map<string,bigint>")
-    return replace_table(merged.withColumn("_marks", marks), f"{root}/inventory")
+    path = f"{root}/inventory"
+    if not buckets.exists(spark, path):
+        buckets.create(spark.createDataFrame([], _TABLE_SCHEMA), path, KEY)
+    fresh = _fresh(spark, root)
+    last = {r["query_id"]: str(r["last"]) for r in fresh.groupBy("query_id").agg(F.max("batch_id").alias("last")).collect()}
+    number = buckets.loads(spark, path).count()
+    return buckets.merge(path, fresh, f"{number:06d}", lambda now, changes: merge_changes(
+        now, changes, KEY, COLUMNS), notes=last)
 
 
 def critical_stock(inventory: DataFrame) -> DataFrame:
