@@ -117,7 +117,9 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     """Parquet table, or an empty one when nothing was written yet."""
     try:
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 
