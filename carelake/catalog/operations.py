@@ -52,4 +52,4 @@ def sla_misses(t: Tables):
     SELECT pipeline_name, min(run_date) AS first_failure, max(run_date) AS last_failure, count(*) AS failures
     FROM marked WHERE status = 'FAILED' GROUP BY pipeline_name, island HAVING count(*) >= 3""")
 def failure_streaks(t: Tables):
-    return audit.failure_streaks(t.runs, "pipeline_name", ["run_date", "run_id"], F.col("run_date"), at_least=3)
+    return audit.failure_streaks(t.runs, "pipeline_name", ["run_date", "run_id"], at_least=3)

@@ -260,5 +260,5 @@ def rolling_12m(t: Tables):
 def status_duration(t: Tables):
     moves = t.raw("events").select(
         "event_id", F.col("user_id").alias("claim_no"), F.col("event_type").alias("status"), F.col("ts").alias("since"))
-    out = next_values(moves, ["claim_no"], ["since", "event_id"], F.date_trunc("hour", "since"), {"until": "since"})
+    out = next_values(moves, ["claim_no"], ["since", "event_id"], {"until": "since"})
     return out.withColumn("seconds_in_status", seconds_between(F.col("until"), F.col("since")))

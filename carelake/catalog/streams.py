@@ -46,7 +46,7 @@ _LATE_TS = "CASE WHEN event_id % 20 = 0 THEN ts - INTERVAL 10 MINUTE ELSE ts END
 def late_events(t: Tables):
     late = F.when(F.col("event_id") % 20 == 0, F.col("ts") - minutes(F.lit(10))).otherwise(F.col("ts"))
     events = t.raw("events").select("event_id", "event_type", "ts", late.alias("event_ts"))
-    out = windows.classify_late(events, "event_ts", ["ts", "event_id"], F.date_trunc("hour", "ts"), 5, ["event_type"])
+    out = windows.classify_late(events, "event_ts", ["ts", "event_id"], 5, ["event_type"])
     return out.select("event_id", "event_ts", "lateness")
 
 

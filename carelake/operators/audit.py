@@ -67,14 +67,14 @@ def over_budget(log: DataFrame, budgets: DataFrame, name: str = "pipeline_name",
     return joined.withColumn("sla_seconds", sla).filter(F.col("duration_seconds") > F.col("sla_seconds"))
 
 
-def failure_streaks(log: DataFrame, key: str, order: Sequence[str], slice_by: Column, at_least: int = 1) -> DataFrame:
+def failure_streaks(log: DataFrame, key: str, order: Sequence[str], at_least: int = 1) -> DataFrame:
     """Unbroken runs of FAILED entries per key: first and last entry and length.
 
     The number of successes so far names the streak; it is summed slice by slice because a key (a pipeline,
     an entity) usually owns a large share of the log.
     """
     success = F.when(F.col("status") == "FAILED", 0).otherwise(1)
-    marked = running_total(log, [key], order, slice_by, success, "_island")
+    marked = running_total(log, [key], order, success, "_island")
     return (
         marked.filter(F.col("status") == "FAILED")
         .groupBy(key, "_island")

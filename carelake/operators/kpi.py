@@ -26,7 +26,7 @@ def money(col: Column) -> Column:
 
 def with_previous_discharge(admissions: DataFrame) -> DataFrame:
     """Previous discharge of the patient by admission date, and the days since."""
-    out = previous_values(admissions, ["patient_id"], ["admission_date", "admission_id"], F.col("admission_date"),
+    out = previous_values(admissions, ["patient_id"], ["admission_date", "admission_id"],
                           {"prev_discharge": "discharge_date"})
     return out.withColumn("days_since_discharge", days_between(F.col("admission_date"), F.col("prev_discharge")))
 

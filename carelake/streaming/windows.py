@@ -26,11 +26,11 @@ def drop_replays(events: DataFrame, keys: Sequence[str] = ("topic", "partition",
     return events.dropDuplicatesWithinWatermark(list(keys))
 
 
-def classify_late(events: DataFrame, event_ts: str, arrival: Sequence[str], slice_by: Column, minutes: int,
+def classify_late(events: DataFrame, event_ts: str, arrival: Sequence[str], minutes: int,
                   keys: Sequence[str]) -> DataFrame:
     """Batch twin of the late-data policy: an event is late when it is older than the newest event that
     arrived before or with it, less the tolerance. `keys` separate the streams."""
-    seen = running_max(events, keys, arrival, slice_by, F.col(event_ts), "_newest")
+    seen = running_max(events, keys, arrival, F.col(event_ts), "_newest")
     late = F.col(event_ts) < F.col("_newest") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
     return seen.withColumn("lateness", F.when(late, "LATE").otherwise("ON_TIME")).drop("_newest")
 

@@ -34,8 +34,8 @@ def by_key(rows):
 
 @pytest.mark.parametrize("hot_rows", [0, 5, 100, 10**6])
 def test_previous_and_next(frame, rows, hot_rows):
-    prev = ordered.previous_values(frame, ["k"], ["d", "id"], F.col("d"), {"pv": "v", "pid": "id"}, hot_rows)
-    both = ordered.next_values(prev, ["k"], ["d", "id"], F.col("d"), {"nid": "id"}, hot_rows)
+    prev = ordered.previous_values(frame, ["k"], ["d", "id"], {"pv": "v", "pid": "id"}, hot_rows)
+    both = ordered.next_values(prev, ["k"], ["d", "id"], {"nid": "id"}, hot_rows)
     got = {r["id"]: (r["pv"], r["pid"], r["nid"]) for r in both.collect()}
     want = {}
     for group in by_key(rows).values():
@@ -48,8 +48,8 @@ def test_previous_and_next(frame, rows, hot_rows):
 
 @pytest.mark.parametrize("hot_rows", [0, 5, 100, 10**6])
 def test_running(frame, rows, hot_rows):
-    total = ordered.running_total(frame, ["k"], ["d", "id"], F.col("d"), F.coalesce("v", F.lit(0)), "t", hot_rows)
-    out = ordered.running_max(total, ["k"], ["d", "id"], F.col("d"), F.col("v"), "m", hot_rows)
+    total = ordered.running_total(frame, ["k"], ["d", "id"], F.coalesce("v", F.lit(0)), "t", hot_rows)
+    out = ordered.running_max(total, ["k"], ["d", "id"], F.col("v"), "m", hot_rows)
     got = {r["id"]: (r["t"], r["m"]) for r in out.collect()}
     want = {}
     for group in by_key(rows).values():
@@ -69,7 +69,7 @@ def test_hot_keys_only_lists_keys_over_the_limit(frame, rows):
 def test_null_key_is_one_group(spark):
     df = spark.createDataFrame([(None, dt.date(2024, 1, 1), 1, 7), (None, dt.date(2024, 1, 2), 2, 8)],
                                "k string, d date, id int, v int")
-    out = ordered.previous_values(df, ["k"], ["d", "id"], F.col("d"), {"pv": "v"}).orderBy("id").collect()
+    out = ordered.previous_values(df, ["k"], ["d", "id"], {"pv": "v"}).orderBy("id").collect()
     assert [r["pv"] for r in out] == [None, 7]
 
 

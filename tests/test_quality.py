@@ -160,7 +160,7 @@ def test_failure_streaks(spark):
     status = "SFFSFFFSSF"
     rows = [("p", dt.date(2024, 1, 1) + dt.timedelta(days=i // 3), i, "FAILED" if c == "F" else "SUCCESS") for i, c in enumerate(status)]
     df = spark.createDataFrame(rows, "k string, d date, id int, status string")
-    out = audit.failure_streaks(df, "k", ["d", "id"], F.col("d"), at_least=1)
+    out = audit.failure_streaks(df, "k", ["d", "id"], at_least=1)
     assert sorted(r["failures"] for r in out.collect()) == [1, 2, 3]
 
 

@@ -66,20 +66,40 @@ def test_percentile_reads_its_input_once_and_keeps_null_groups(spark):
 
 def test_hot_key_is_sliced_and_others_are_not(spark):
     rows = hot_rows(spark, 3000).withColumn("d", F.date_add(F.lit("2020-01-01").cast("date"), (F.col("v") % 100).cast("int")))
-    sliced, _ = ordered._sliced(rows, ["k"], F.col("d"), 500)
+    sliced, _ = ordered._sliced(rows, ["k"], ["d", "v"], 100)
     assert sliced.filter("k = 7 AND _slice IS NULL").count() == 0
     assert sliced.filter("k <> 7 AND _slice IS NOT NULL").count() == 0
-    largest = sliced.groupBy("k", "_slice").count().agg(F.max("count")).first()[0]
-    assert largest <= 30
+    largest = sliced.where("k = 7").groupBy("_slice").count().agg(F.max("count")).first()[0]
+    assert largest <= 200
+
+
+def test_rows_that_crowd_in_one_hour_are_spread(spark):
+    """Five keys; one has nine tenths of the rows, nearly all in one hour: by that hour it would be one task."""
+    n = 200_000
+    at = F.when(F.col("id") % 20 < 19, 36_000 + F.col("id") % 3600).otherwise(F.col("id") % 864_000)
+    rows = spark.range(n).select(F.when(F.col("id") % 10 > 0, 0).otherwise(F.col("id") % 50 / 10).cast("int").alias("k"), at.alias("s"), "id")
+    hour = rows.groupBy("k", F.floor(F.col("s") / 3600)).count().agg(F.max("count")).first()[0]
+    out = ordered.running_total(rows, ["k"], ["s", "id"], F.lit(1), "nth", hot_rows=2000)
+    sliced, keys = ordered._sliced(rows, ["k"], ["s", "id"], 2000)
+    sizes = sorted(r["count"] for r in sliced.groupBy("k", "_slice").count().collect())
+    assert hour > 0.8 * n and sizes[-1] <= 2 * sizes[len(sizes) // 2] and len(sizes) >= 90
+    tasks = sorted(r["count"] for r in sliced.repartition(8, *keys, "_slice").groupBy(F.spark_partition_id()).count().collect())
+    assert tasks[-1] <= 2 * tasks[len(tasks) // 2]
+    got = {r["id"]: (r["k"], r["nth"]) for r in out.collect()}
+    want, seen = {}, {}
+    for r in sorted(rows.collect(), key=lambda r: (r["s"], r["id"])):
+        seen[r["k"]] = seen.get(r["k"], 0) + 1
+        want[r["id"]] = (r["k"], seen[r["k"]])
+    assert got == want
 
 
 def test_hot_null_key_is_sliced_and_keeps_its_order(spark):
     rows = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"), F.col("id").alias("v"),
                                     F.floor(F.col("id") / 100).alias("d"))
-    sliced, _ = ordered._sliced(rows, ["k"], F.col("d"), 500)
+    sliced, _ = ordered._sliced(rows, ["k"], ["v"], 500)
     assert sliced.filter("k IS NULL AND _slice IS NULL").count() == 0
-    cut = ordered.previous_values(rows, ["k"], ["v"], F.col("d"), {"before": "v"}, hot_rows=500)
-    whole = ordered.previous_values(rows, ["k"], ["v"], F.col("d"), {"before": "v"})
+    cut = ordered.previous_values(rows, ["k"], ["v"], {"before": "v"}, hot_rows=500)
+    whole = ordered.previous_values(rows, ["k"], ["v"], {"before": "v"})
     assert sorted(map(str, cut.collect())) == sorted(map(str, whole.collect()))
     assert cut.filter("k IS NULL AND before = v - 3").count() == 999
 

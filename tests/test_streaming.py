@@ -220,5 +220,5 @@ def test_lag_status(spark):
 def test_late_classification(spark):
     rows = [(i, AT + dt.timedelta(minutes=m), "s") for i, m in enumerate([0, 10, 5, 4, 20, 14])]
     df = spark.createDataFrame(rows, "id int, ts timestamp, s string").withColumn("arrived", F.lit(AT) + F.make_dt_interval(mins=F.col("id")))
-    out = windows.classify_late(df, "ts", ["arrived", "id"], F.date_trunc("minute", "arrived"), 5, ["s"])
+    out = windows.classify_late(df, "ts", ["arrived", "id"], 5, ["s"])
     assert [r["lateness"] for r in out.orderBy("id").collect()] == ["ON_TIME", "ON_TIME", "ON_TIME", "LATE", "ON_TIME", "LATE"]
