@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from carelake.catalog.bindings import ORDERS_AS_OF, Tables, hospital_of, hospital_sql
+from carelake.catalog.bindings import ORDERS_AS_OF, Tables, hospital_of, hospital_sql, minutes
 from carelake.catalog.registry import query
 from carelake.operators import alerts, fraud, joins, kpi, lab, pharmacy
 from carelake.streaming.parse import grade_vitals
@@ -192,6 +192,24 @@ def transfer_suggestions(t: Tables):
     return pharmacy.transfer_suggestions(cover, "drug_id", "hospital_code")
 
 
+@query("transfer_plan", f"""
+    WITH use AS (SELECT drug_id, hospital_code, {_USE_SQL} AS daily FROM claims GROUP BY ALL),
+    cover AS (SELECT * FROM site_stock JOIN use USING (drug_id, hospital_code)),
+    givers AS (
+        SELECT drug_id, hospital_code AS from_site, CAST(floor(current_stock - daily * 14) AS BIGINT) AS units,
+               sum(CAST(floor(current_stock - daily * 14) AS BIGINT)) OVER (PARTITION BY drug_id ORDER BY floor(current_stock - daily * 14) DESC, hospital_code) AS until
+        FROM cover WHERE floor(current_stock - daily * 14) > 0),
+    takers AS (
+        SELECT drug_id, hospital_code AS to_site, CAST(ceil(daily * 7 - current_stock) AS BIGINT) AS units,
+               sum(CAST(ceil(daily * 7 - current_stock) AS BIGINT)) OVER (PARTITION BY drug_id ORDER BY round(current_stock / daily, 1) NULLS FIRST, hospital_code) AS until
+        FROM cover WHERE current_stock < daily * 7)
+    SELECT drug_id, from_site, to_site, CAST(least(g.until, t.until) - greatest(g.until - g.units, t.until - t.units) AS BIGINT) AS transfer_units
+    FROM givers g JOIN takers t USING (drug_id) WHERE least(g.until, t.until) > greatest(g.until - g.units, t.until - t.units)""")
+def transfer_plan(t: Tables):
+    keys = ["drug_id", "hospital_code"]
+    return pharmacy.transfer_plan(pharmacy.stock_cover(t.site_stock, _use(t, keys), keys), "drug_id", "hospital_code")
+
+
 @query("near_expiry", """
     SELECT drug_id, expiry_date, current_stock, CAST(expiry_date - DATE '2024-01-31' AS INTEGER) AS days_to_expiry
     FROM drugs WHERE expiry_date - DATE '2024-01-31' BETWEEN 0 AND 30""")
@@ -267,6 +285,37 @@ def icu_utilisation(t: Tables):
     return kpi.icu_utilisation(t.vitals, beds)
 
 
+_STAYS_SQL = """
+    stays AS (
+        SELECT hospital_code, CAST(admission_date AS TIMESTAMP) + to_minutes(admission_id * 37 % 1440) AS since,
+               CAST(discharge_date AS TIMESTAMP) + to_minutes(admission_id * 53 % 1440) AS until
+        FROM admissions),
+    valid AS (SELECT * FROM stays WHERE until IS NULL OR until > since)"""
+
+
+@query("beds_at_a_time", f"""
+    WITH {_STAYS_SQL},
+    days AS (SELECT hospital_code, unnest(range(min(CAST(since AS DATE))::TIMESTAMP, TIMESTAMP '2002-01-01', INTERVAL 1 DAY)) AS day FROM valid GROUP BY hospital_code),
+    points AS (SELECT hospital_code, day AS at FROM days UNION SELECT hospital_code, since FROM valid UNION SELECT hospital_code, until FROM valid WHERE until IS NOT NULL),
+    levels AS (
+        SELECT p.hospital_code, CAST(p.at AS DATE) AS day, count(v.since) AS beds FROM points p
+        LEFT JOIN valid v ON v.hospital_code = p.hospital_code AND v.since <= p.at AND (v.until IS NULL OR p.at < v.until)
+        WHERE p.at < TIMESTAMP '2002-01-01' GROUP BY p.hospital_code, p.at),
+    hours AS (
+        SELECT d.hospital_code, CAST(d.day AS DATE) AS day,
+               sum(epoch_us(least(coalesce(v.until, d.day + INTERVAL 1 DAY), d.day + INTERVAL 1 DAY)) - epoch_us(greatest(v.since, d.day))) AS micros,
+               count(*) FILTER (v.since >= d.day) AS came
+        FROM days d LEFT JOIN valid v ON v.hospital_code = d.hospital_code AND v.since < d.day + INTERVAL 1 DAY AND (v.until IS NULL OR v.until > d.day)
+        GROUP BY ALL)
+    SELECT hospital_code, day, CAST(max(beds) AS BIGINT) AS peak, round(coalesce(any_value(micros), 0) / 86400000000, 6) AS mean, CAST(any_value(came) AS BIGINT) AS admissions
+    FROM levels JOIN hours USING (hospital_code, day) GROUP BY ALL""")
+def beds_at_a_time(t: Tables):
+    at = lambda day, factor: F.col(day).cast("timestamp_ntz") + minutes(F.col("admission_id") * factor % 1440)
+    stays = t.admissions.select(
+        "hospital_code", at("admission_date", 37).alias("since"), at("discharge_date", 53).alias("until"))
+    return kpi.beds_at_a_time(stays, "hospital_code", "since", "until", ORDERS_AS_OF)
+
+
 @query("rate_per_1000", f"""
     SELECT {hospital_sql('user_id')} AS hospital_code, CAST(ts AS DATE) AS event_date, count(*) AS total,
            count(*) FILTER (event_type = 'error') AS events, round(count(*) FILTER (event_type = 'error') * 1000 / count(*), 2) AS rate_per_1000

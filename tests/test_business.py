@@ -1,4 +1,6 @@
 import datetime as dt
+import math
+import random
 from decimal import Decimal
 
 import pytest
@@ -152,3 +154,37 @@ def test_silver_rules(spark):
     df = spark.createDataFrame([(" ab ", None, dt.datetime(2024, 1, 1, 5, 30), "Keep", None)], "a string, b string, t timestamp, k string, n int")
     r = layers.standardised(df, "Asia/Kolkata", keep_case=["k"]).first()
     assert tuple(r) == ("AB", "UNKNOWN", dt.datetime(2024, 1, 1), "Keep", -1)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_every_unit_is_promised_once(spark, seed):
+    """Random drugs: no giver sends more than it can spare; every shortage is filled, or every surplus used."""
+    r = random.Random(seed)
+    rows = [(d, f"S{s:02d}", r.randrange(0, 120), round(r.uniform(0.1, 12), 3)) for d in range(25) for s in range(r.randrange(1, 30))]
+    stock = spark.createDataFrame(rows, "drug int, site string, current_stock long, avg_daily_consumption double")
+    cover = pharmacy.stock_cover(stock.drop("avg_daily_consumption"), stock.drop("current_stock"), ["drug", "site"])
+    sent, got, pairs = {}, {}, set()
+    for x in pharmacy.transfer_plan(cover, "drug", "site").collect():
+        assert x["transfer_units"] > 0 and (x["drug"], x["from_site"], x["to_site"]) not in pairs
+        pairs.add((x["drug"], x["from_site"], x["to_site"]))
+        sent[x["drug"], x["from_site"]] = sent.get((x["drug"], x["from_site"]), 0) + x["transfer_units"]
+        got[x["drug"], x["to_site"]] = got.get((x["drug"], x["to_site"]), 0) + x["transfer_units"]
+    spare = {(d, s): math.floor(n - use * 14) for d, s, n, use in rows if math.floor(n - use * 14) > 0}
+    short = {(d, s): math.ceil(use * 7 - n) for d, s, n, use in rows if n < use * 7}
+    assert all(units <= spare[k] for k, units in sent.items()) and all(units <= short[k] for k, units in got.items())
+    for d in range(25):
+        total = sum(u for k, u in spare.items() if k[0] == d), sum(u for k, u in short.items() if k[0] == d)
+        assert sum(u for k, u in sent.items() if k[0] == d) == min(total)
+    assert len(pairs) <= len(spare) + len(short)
+
+
+def test_beds_at_a_time(spark):
+    at = lambda day, hour, minute=0: dt.datetime(2024, 1, day, hour, minute)
+    stays = [("A", at(1, 6), at(1, 18)), ("A", at(1, 18), at(3, 6)), ("A", at(1, 12), None),
+             ("A", at(2, 0), at(2, 0)), ("A", at(2, 9), at(2, 8)), ("A", None, at(2, 9)),  # no stay at all
+             ("A", at(2, 0), at(3, 0)), ("B", at(2, 23, 59), at(5, 0, 1)), (None, at(3, 0), at(3, 1))]
+    df = spark.createDataFrame(stays, "unit string, since timestamp_ntz, until timestamp_ntz")
+    got = {(r["unit"], r["day"].day): (r["peak"], r["mean"], r["admissions"]) for r in kpi.beds_at_a_time(
+        df, "unit", "since", "until", "2024-01-04").collect() if r["unit"]}
+    assert got == {("A", 1): (2, round((12 + 6 + 12) / 24, 6), 3), ("A", 2): (3, 3.0, 1), ("A", 3): (2, 1.25, 0), ("A", 4): (1, 1.0, 0),
+                   ("B", 2): (1, round(1 / 1440, 6), 1), ("B", 3): (1, 1.0, 0), ("B", 4): (1, 1.0, 0)}
