@@ -136,3 +136,35 @@ def dq_reconcile(t: Tables):
     FROM events GROUP BY event_type""")
 def dq_required_fields(t: Tables):
     return quality.required_payload_fields(t.raw("events"), "props", ["k", "version"], by=["event_type"])
+
+
+@query("payload_drift", """
+    WITH sent AS (
+        SELECT event_type, CASE event_type
+            WHEN 'view' THEN regexp_replace(props, '"k": ([0-9]+)', '"k": "\\1"')
+            WHEN 'error' THEN replace(props, '"k"', '"code"')
+            WHEN 'signup' THEN replace(props, '}', ', "extra": true}')
+            WHEN 'purchase' THEN CASE WHEN event_id % 50 = 0 THEN 'cut {' ELSE props END
+            ELSE props END AS payload
+        FROM events),
+    good AS (SELECT event_type, payload FROM sent WHERE json_valid(payload)),
+    fields AS (SELECT event_type, payload, unnest(json_keys(payload)) AS f FROM good),
+    kinds AS (
+        SELECT event_type, f, CASE json_type(json_extract(payload, '$."' || f || '"')) WHEN 'UBIGINT' THEN 'bigint' WHEN 'BIGINT' THEN 'bigint'
+               WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' END AS kind FROM fields),
+    now AS (SELECT event_type, f, CASE WHEN min(kind) = max(kind) THEN min(kind) ELSE 'variant' END AS kind FROM kinds WHERE kind IS NOT NULL GROUP BY ALL),
+    found AS (
+        SELECT event_type, f, 'added as ' || kind AS message FROM now WHERE f <> 'k'
+        UNION ALL SELECT event_type, 'k', 'removed' FROM good WHERE event_type NOT IN (SELECT event_type FROM now WHERE f = 'k') GROUP BY ALL
+        UNION ALL SELECT event_type, f, 'type bigint became ' || kind FROM now WHERE f = 'k' AND kind <> 'bigint'
+        UNION ALL SELECT event_type, NULL, count(*) || ' payloads are no JSON' FROM sent WHERE NOT json_valid(payload) GROUP BY ALL)
+    SELECT event_type AS member, f AS column_name, 'payload_drift' AS rule_name, 'WARNING' AS severity, message FROM found""")
+def payload_drift(t: Tables):
+    kind, props = F.col("event_type"), F.col("props")
+    payload = (
+        F.when(kind == "view", F.regexp_replace(props, r'"k": ([0-9]+)', '"k": "$1"'))
+        .when(kind == "error", F.replace(props, F.lit('"k"'), F.lit('"code"')))
+        .when(kind == "signup", F.replace(props, F.lit("}"), F.lit(', "extra": true}')))
+        .when((kind == "purchase") & (F.col("event_id") % 50 == 0), "cut {").otherwise(props))
+    registered = T.StructType([T.StructField("k", T.LongType())])
+    return quality.payload_drift(t.raw("events").withColumn("payload", payload), "payload", registered, "event_type")

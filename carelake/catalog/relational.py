@@ -153,6 +153,23 @@ def p95_tat(t: Tables):
     return p95.select("hospital_code", "order_type", F.round(F.col("p95") / 3600, 6).alias("p95_tat_hours"))
 
 
+@query("p95_tat_sketched", """
+    SELECT hospital_code, order_type, CAST(date_trunc('week', collected_ts) AS DATE) AS week, count(*) AS n, true AS within_bound
+    FROM labs GROUP BY ALL""")
+def p95_tat_sketched(t: Tables):
+    """Weekly percentiles from daily sketches; whether their rank among the rows is within the stated error."""
+    labs = t.labs.withColumn("day", F.to_date("collected_ts"))
+    daily = aggregates.percentile_sketches(labs, ["day", "hospital_code", "order_type"], "tat_seconds")
+    week = F.date_trunc("week", "day").cast("date").alias("week")
+    p95 = aggregates.sketched_percentile(daily, ["hospital_code", "order_type", week], 0.95, "p95")
+    rows = labs.select("hospital_code", "order_type", week, "tat_seconds").join(p95, ["hospital_code", "order_type", "week"])
+    share = lambda hit: F.count_if(hit) / F.count(F.lit(1))
+    error = F.lit(aggregates.SKETCH_RANK_ERROR) + 1 / F.count(F.lit(1))  # one row more or less is no error
+    return rows.groupBy("hospital_code", "order_type", "week").agg(
+        F.max("n").alias("n"), ((share(F.col("tat_seconds") < F.col("p95")) <= 0.95 + error)
+                                & (share(F.col("tat_seconds") <= F.col("p95")) >= 0.95 - error)).alias("within_bound"))
+
+
 def _sets_sql(dims, body, view):
     label = " ".join(f"WHEN grouping({d}) = 0 THEN '{d}'" for d in dims)
     member = " ".join(f"WHEN grouping({d}) = 0 THEN CAST({d} AS VARCHAR)" for d in dims)

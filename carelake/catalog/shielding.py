@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from carelake.catalog.bindings import ORDERS_AS_OF, Tables
 from carelake.catalog.registry import query
-from carelake.functions import privacy
+from carelake.functions import checkdigits, privacy
+from carelake.functions.checkdigits import LUHN_SQL, VERHOEFF_SQL
 from carelake.operators import governance, joins, quality
 
 
@@ -77,6 +78,32 @@ def pii_value_scan(t: Tables):
     return reduce(DataFrame.unionByName, parts)
 
 
+_CHECK_SQL = {"identifier_12": VERHOEFF_SQL, "card": LUHN_SQL}
+_CHECKED_SQL = " UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, '{column}' AS column_name, '{name}' AS pattern, "
+    f"count(*) FILTER (regexp_matches({column}, '{pattern}')) AS hits, "
+    f"count(*) FILTER (len(list_filter(regexp_extract_all({column}, '{pattern}'), lambda m: {_CHECK_SQL[name].format(n='m')})) > 0) AS valid_hits FROM {table}"
+    for table, columns in _SCANNED.items() for column in columns for name, (pattern, _) in quality.CHECKED_PATTERNS.items())
+
+
+@query("pii_checked_scan", _CHECKED_SQL)
+def pii_checked_scan(t: Tables):
+    parts = [quality.checked_scan(t.raw(table), table, columns) for table, columns in _SCANNED.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("check_digits", f"""
+    WITH numbers AS (SELECT c_custkey AS patient_id, CAST(c_custkey + 512345678900 AS VARCHAR) AS identifier, '4539' || lpad(CAST(c_custkey * 7919 AS VARCHAR), 12, '0') AS card FROM customer)
+    SELECT patient_id, identifier, card, {VERHOEFF_SQL.format(n='identifier')} AS identifier_valid, {LUHN_SQL.format(n='card')} AS card_valid FROM numbers""")
+def check_digits(t: Tables):
+    key = F.col("c_custkey")
+    numbers = t.raw("customer").select(
+        key.alias("patient_id"), (key + 512345678900).cast("string").alias("identifier"),
+        F.concat(F.lit("4539"), F.lpad((key * 7919).cast("string"), 12, "0")).alias("card"))
+    return numbers.withColumns({
+        "identifier_valid": checkdigits.verhoeff_valid(F.col("identifier")), "card_valid": checkdigits.luhn_valid(F.col("card"))})
+
+
 @query("consent_filter", """
     SELECT admission_id, patient_id, admission_date FROM admissions
     WHERE patient_id IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)""")

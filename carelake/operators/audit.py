@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +49,23 @@ def audit_record(spark: SparkSession, *, pipeline: str, job: str, run_id: str, s
     return spark.createDataFrame([row], AUDIT_SCHEMA)
 
 
+def audited_write(df: DataFrame, path: str, valid: str, *, pipeline: str, job: str, run_id: str, source: str, entity: str,
+                  start: datetime, clock: Callable[[], datetime], partition: str = "_valid") -> DataFrame:
+    """Write valid and rejected rows in one job, each in its partition of `path`, and return the audit row of the run.
+
+    The counts are observed on the rows while they are written, so nothing is computed once more for them. NULL flags count
+    as rejected. A write that fails raises, and there is no row.
+    """
+    seen = Observation()
+    flagged = df.withColumn(partition, F.coalesce(F.col(valid), F.lit(False))).observe(
+        seen, F.count(F.lit(1)).alias("read"), F.count_if(F.col(valid)).alias("written"))
+    flagged.drop(valid).write.mode("overwrite").partitionBy(partition).parquet(path)
+    counts = seen.get
+    return audit_record(
+        df.sparkSession, pipeline=pipeline, job=job, run_id=run_id, source=source, entity=entity, read=counts["read"],
+        written=counts["written"], rejected=counts["read"] - counts["written"], status="SUCCESS", start=start, end=clock())
+
+
 def route_counts(routed: DataFrame, valid: str, by: Sequence[str] = ()) -> DataFrame:
     """Rows read, written and rejected from one aggregate over the routed rows."""
     measures = [

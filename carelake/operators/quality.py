@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from carelake.functions.checkdigits import luhn_valid, verhoeff_valid
 from carelake.functions.privacy import FORBIDDEN_COLUMNS, VALUE_PATTERNS, holds_pattern
 
 SEVERITY_RANK = {"INFO": 1, "WARNING": 2, "CRITICAL": 3}
@@ -127,6 +128,42 @@ def schema_drift(df: DataFrame, registered: T.StructType, table: str) -> DataFra
         "table_name string, column_name string, rule_name string, severity string, message string")
 
 
+def _paths(kind: T.DataType, at: str = "") -> dict[str, str]:
+    """Type of every field of a schema by its path; what is inside a list is under `[]`."""
+    if isinstance(kind, T.StructType):
+        return {p: t for f in kind.fields for p, t in _paths(f.dataType, f"{at}.{f.name}" if at else f.name).items()} or {at: "struct<>"}
+    if isinstance(kind, T.ArrayType):
+        return _paths(kind.elementType, f"{at}[]")
+    return {at: kind.simpleString()}
+
+
+def payload_drift(df: DataFrame, payload: str, registered: T.StructType, by: str) -> DataFrame:
+    """WARNING finding per field of the JSON payloads that is new, lost or of another type than registered, by group.
+
+    One aggregate merges the schemas of all payloads of a group (`schema_of_variant_agg`); what reaches the driver is one
+    schema per group. A field counts as lost if no payload of the group has it with a value, and as of another type if its values
+    do not share the registered one: whole numbers are bigint, other numbers decimal or double, a field of several types is
+    variant. Payloads that are no JSON are a finding with their number. NULL payloads count for nothing.
+    """
+    parsed = df.where(F.col(payload).isNotNull()).select(F.col(by).cast("string").alias("member"), F.try_parse_json(payload).alias("v"))
+    merged = parsed.groupBy("member").agg(
+        F.schema_of_variant_agg("v").alias("found"), F.count("v").alias("good"), F.count_if(F.col("v").isNull()).alias("unreadable"))
+    then = _paths(registered)
+    rows = []
+    for r in merged.collect():
+        now = _paths(T.DataType.fromDDL(r["found"].replace("OBJECT<", "STRUCT<"))) if r["good"] else {}
+        now = {p: t for p, t in now.items() if p and t != "void"}
+        rows += [(r["member"], p, f"added as {t}") for p, t in now.items() if p not in then]
+        if r["good"]:
+            rows += [(r["member"], p, "removed") for p in then if p not in now]
+        rows += [(r["member"], p, f"type {then[p]} became {t}") for p, t in now.items() if p in then and then[p] != t]
+        if r["unreadable"]:
+            rows.append((r["member"], None, f"{r['unreadable']} payloads are no JSON"))
+    return df.sparkSession.createDataFrame(
+        [(m, c, "payload_drift", "WARNING", text) for m, c, text in rows],
+        "member string, column_name string, rule_name string, severity string, message string")
+
+
 def forbidden_columns(df: DataFrame, table: str, exact: Sequence[str] = tuple(FORBIDDEN_COLUMNS),
                       parts: Sequence[str] = ("aadhaar", "phone", "email")) -> DataFrame:
     """CRITICAL finding per column name that must not be in the reporting layer; hashed forms are allowed."""
@@ -147,6 +184,27 @@ def value_scan(df: DataFrame, table: str, columns: Sequence[str] | None = None,
     return _unpivot(totals, rows, ["table_name", "column_name", "pattern", "hits"])
 
 
+#: Patterns whose matches are numbers with a check digit.
+CHECKED_PATTERNS = {
+    "identifier_12": (VALUE_PATTERNS["identifier_12"], verhoeff_valid),
+    "card": (r"\b[0-9](?:[ -]?[0-9]){12,18}\b", luhn_valid),
+}
+
+
+def checked_scan(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
+    """Rows per text column with a number that looks like personal data (`hits`), and with one whose check digit is right,
+    too (`valid_hits`); one scan. Matches are only taken out of texts that have any."""
+    pairs = [(c, p) for c in columns for p in CHECKED_PATTERNS]
+    measures, rows = [], []
+    for i, (c, p) in enumerate(pairs):
+        pattern, valid = CHECKED_PATTERNS[p]
+        looks = F.col(c).rlike(pattern)
+        right = F.exists(F.regexp_extract_all(c, F.lit(pattern), F.lit(0)), valid)
+        measures += [F.count_if(looks).alias(f"_n{i}"), F.count_if(F.when(looks, right)).alias(f"_v{i}")]
+        rows.append([F.lit(table), F.lit(c), F.lit(p), F.col(f"_n{i}"), F.col(f"_v{i}")])
+    return _unpivot(df.agg(*measures), rows, ["table_name", "column_name", "pattern", "hits", "valid_hits"])
+
+
 def gate(findings: DataFrame) -> DataFrame:
     """Verdict over failed findings `(severity, message)`: the worst severity and the first five issues."""
     rank = F.element_at(F.create_map(*[F.lit(x) for kv in SEVERITY_RANK.items() for x in kv]), F.col("severity"))

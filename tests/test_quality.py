@@ -1,11 +1,12 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelake.operators.joins import literal_table
-from carelake.operators import alerts, audit, governance, incremental, quality
+from carelake.operators import aggregates, alerts, audit, governance, incremental, quality
 
 
 def test_null_rates_with_group(spark):
@@ -178,3 +179,89 @@ def test_threshold_alerts(spark):
     df = spark.createDataFrame([("CHN", 5.0, 9.0), ("MDU", 6.0, None)], "h string, readmission_rate_pct double, denial_rate_pct double")
     got = sorted((r["h"], r["alert_id"]) for r in alerts.threshold_alerts(df, ["h"]).collect())
     assert got == [("CHN", "ALT-012"), ("MDU", "ALT-011")]
+
+
+def test_payload_drift_sees_inside_lists_and_objects(spark):
+    registered = T.StructType.fromDDL("a bigint, b struct<c:string>, d array<bigint>, lost string")
+    rows = [("x", '{"a": 1, "b": {"c": "t", "new": true}, "d": [1, 2]}'), ("x", '{"a": "one", "d": []}'), ("x", "no json"), ("x", None),
+            ("y", '{"a": 1, "b": {"c": "t"}, "d": [3], "lost": "here"}'), ("y", '{"lost": null, "odd name": 1}'), ("z", "[")]
+    df = spark.createDataFrame(rows, "k string, p string")
+    got = {(r.member, r.column_name, r.message) for r in quality.payload_drift(df, "p", registered, "k").collect()}
+    assert got == {("x", "a", "type bigint became variant"), ("x", "b.new", "added as boolean"), ("x", "lost", "removed"),
+                   ("x", None, "1 payloads are no JSON"), ("y", "odd name", "added as bigint"), ("z", None, "1 payloads are no JSON")}
+    assert quality.payload_drift(df.limit(0), "p", registered, "k").count() == 0
+
+
+def test_merged_sketches_keep_the_rank(spark):
+    df = spark.range(60_000).select((F.col("id") % 30).alias("day"), F.when(F.col("id") % 3 == 0, 7).otherwise(
+        F.xxhash64("id") % 100_000).alias("v"))
+    daily = aggregates.percentile_sketches(df, ["day"], "v")
+    assert daily.count() == 30
+    for p in (0.01, 0.5, 0.95):
+        got = aggregates.sketched_percentile(daily, [(F.col("day") % 2).alias("half")], p, "q").collect()
+        for r in got:
+            rows = df.where(F.col("day") % 2 == r["half"])
+            n, below, upto = rows.agg(F.count("v"), F.count_if(F.col("v") < r["q"]), F.count_if(F.col("v") <= r["q"])).first()
+            assert r["n"] == n and below / n - aggregates.SKETCH_RANK_ERROR <= p <= upto / n + aggregates.SKETCH_RANK_ERROR
+
+
+def test_an_audited_write_computes_its_rows_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean", useArrow=False)
+    def good(i):
+        made.add(1)
+        return None if i % 10 == 0 else i % 3 > 0
+
+    at = dt.datetime(2024, 1, 1)
+    df = spark.range(0, 100, 1, 4).withColumn("ok", good("id"))
+    row = audit.audited_write(df, str(tmp_path / "t"), "ok", pipeline="p", job="j", run_id="r", source="s", entity="e", start=at,
+                              clock=lambda: at).first()
+    want = sum(1 for i in range(100) if i % 10 and i % 3)
+    assert (row["records_read"], row["records_written"], row["records_rejected"]) == (100, want, 100 - want) and made.value == 100
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    assert stored.where("_valid = 'true'").count() == want and stored.where("_valid = 'false'").count() == 100 - want
+
+
+def plain_luhn(number):
+    total = 0
+    for i, x in enumerate(reversed(number)):
+        d = int(x) * (2 if i % 2 else 1)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def plain_verhoeff(number):
+    """Products of symmetries of a pentagon, as permutations of its corners."""
+    def corner(e):
+        return tuple((c + e) % 5 for c in range(5)) if e < 5 else tuple((e - 5 - c) % 5 for c in range(5))
+
+    elements = [corner(e) for e in range(10)]
+    step, product = [1, 5, 7, 6, 2, 8, 3, 0, 9, 4], elements[0]
+    for place, x in enumerate(reversed(number)):
+        d = int(x)
+        for _ in range(place % 8):
+            d = step[d]
+        product = tuple(product[elements[d][c]] for c in range(5))
+    return product == elements[0]
+
+
+def test_check_digits(spark):
+    from carelake.functions.checkdigits import luhn_valid, verhoeff_valid
+
+    numbers = spark.range(5000).select((F.col("id") * 7_777_777 + 100_000_000_000).cast("string").alias("n"))
+    for r in numbers.select("n", verhoeff_valid(F.col("n")).alias("v"), luhn_valid(F.col("n")).alias("l")).collect():
+        assert r["v"] == plain_verhoeff(r["n"]) and r["l"] == plain_luhn(r["n"]), r["n"]
+    odd = spark.createDataFrame([("2363",), ("236-3",), ("",), (None,), ("23a63",), (" - ",)], "n string")
+    assert [r[0] for r in odd.select(verhoeff_valid(F.col("n"))).collect()] == [True, True, False, False, False, False]
+
+
+def test_only_numbers_with_their_check_digit_count(spark):
+    right = next(d for d in range(10) if plain_verhoeff(f"23634567890{d}"))
+    texts = ["pay 4539 1488 0343 6467 now", "order 4539148803436468", f"id 2363 4567 890{right}", f"id 23634567890{(right + 1) % 10}",
+             f"23634567890{(right + 1) % 10} and 23634567890{right}", "no number", None]
+    got = {r["pattern"]: (r["hits"], r["valid_hits"]) for r in quality.checked_scan(
+        spark.createDataFrame([(t,) for t in texts], "t string"), "x", ["t"]).collect()}
+    assert got["card"] == (2, 1)
+    groups = re.findall(quality.CHECKED_PATTERNS["identifier_12"][0], texts[0])
+    assert got["identifier_12"] == (3 + bool(groups), 2 + any(plain_verhoeff(re.sub("[ -]", "", g)) for g in groups))
