@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 from carelake.catalog.bindings import Tables
 from carelake.catalog.registry import query
 from carelake.functions import clinical, dates, text
+from carelake.operators import calendar
+from carelake.operators.joins import literal_table
 from carelake.plans import layers
 
 
@@ -152,6 +154,31 @@ def business_days(t: Tables):
         "admission_id", dates.business_days(F.col("admission_date"), F.col("discharge_date")).alias("business_days"))
 
 
+# The days off of every year, by month and day.
+_DAYS_OFF = [(1, 26), (5, 1), (8, 15), (10, 2), (12, 25)]
+
+
+@query("business_days_holidays", f"""
+    WITH off AS (SELECT make_date(CAST(y AS INTEGER), m, d) AS day FROM range(1990, 2004) AS r(y), (VALUES {', '.join(map(str, _DAYS_OFF))}) AS v(m, d)),
+    stays AS (
+        SELECT admission_id, CASE WHEN admission_id % 7 = 0 THEN discharge_date ELSE admission_date END AS since,
+               CASE WHEN admission_id % 7 = 0 THEN admission_date ELSE discharge_date END AS until FROM admissions)
+    SELECT admission_id, CAST(CASE WHEN since IS NULL OR until IS NULL THEN NULL ELSE sign(until - since) * (
+        SELECT count(*) FROM range(1, 10) AS r(i)
+        WHERE least(since, until) + CAST(i AS INTEGER) <= greatest(since, until) AND isodow(least(since, until) + CAST(i AS INTEGER)) < 6
+              AND least(since, until) + CAST(i AS INTEGER) NOT IN (SELECT day FROM off)) END AS INTEGER) AS business_days
+    FROM stays""")
+def business_days_holidays(t: Tables):
+    """Every seventh stay has its dates reversed."""
+    off = literal_table(t.spark, [(f"{y}-{m:02d}-{d:02d}",) for y in range(1990, 2004) for m, d in _DAYS_OFF], "day string")
+    turned = F.col("admission_id") % 7 == 0
+    stays = t.admissions.select(
+        "admission_id", F.when(turned, F.col("discharge_date")).otherwise(F.col("admission_date")).alias("since"),
+        F.when(turned, F.col("admission_date")).otherwise(F.col("discharge_date")).alias("until"))
+    days = calendar.business_calendar(t.spark, "1990-01-01", "2003-12-31", off)
+    return calendar.with_business_days(stays, days, "since", "until", "business_days").select("admission_id", "business_days")
+
+
 @query("record_hash", """
     SELECT event_id, sha256(concat_ws('|', coalesce(patient_mrn, '∅'), coalesce(CAST(heart_rate AS VARCHAR), '∅'), hospital_code)) AS record_hash
     FROM vitals""")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -12,6 +13,8 @@ from carelake.catalog.registry import query
 from carelake.functions import checkdigits, privacy
 from carelake.functions.checkdigits import LUHN_SQL, VERHOEFF_SQL
 from carelake.operators import governance, joins, quality
+from carelake.session import use_checkpoint_dir
+from carelake.sources import erasure
 
 
 @query("hash_identifier", "SELECT patient_id, city, sha256(aadhaar_number) AS aadhaar_hash FROM patients")
@@ -136,6 +139,24 @@ def erase_claims(t: Tables):
         "claim_id", "patient_id", "status")
 
 
+@query("erase_stored", """
+    WITH gone AS (SELECT c_custkey FROM customer WHERE c_acctbal < -900),
+    stored AS (
+        SELECT 'admissions' AS table_name, 'year=' || year(admission_date) AS partition, patient_id FROM admissions
+        UNION ALL SELECT 'patients', '', patient_id FROM patients)
+    SELECT table_name, partition, count(*) AS rows_before, count(c_custkey) AS rows_erased, count(*) - count(c_custkey) AS rows_left, true AS verified
+    FROM stored LEFT JOIN gone ON c_custkey = patient_id GROUP BY ALL HAVING count(c_custkey) > 0""")
+def erase_stored(t: Tables):
+    """Admissions stored by year and patients in one folder, after some patients have been erased."""
+    root = f"{use_checkpoint_dir(t.spark)}/erasure-{uuid.uuid4().hex}"
+    t.admissions.withColumn("year", F.year("admission_date")).hint("rebalance", F.col("year")).write.partitionBy("year").parquet(f"{root}/admissions")
+    t.patients.write.parquet(f"{root}/patients")
+    gone = t.raw("customer").filter(F.col("c_acctbal") < -900).select("c_custkey")
+    manifest = erasure.erase_stored(t.spark, {
+        "admissions": (f"{root}/admissions", "patient_id"), "patients": (f"{root}/patients", "patient_id")}, gone, "run")
+    return manifest.select("table_name", "partition", "rows_before", "rows_erased", "rows_left", "verified")
+
+
 @query("retention_class", """
     SELECT admission_id, admission_date,
            CASE WHEN admission_date <= DATE '2001-12-31' - INTERVAL 7 YEAR THEN 'DELETE'
