@@ -31,14 +31,25 @@ def dq_null_rates(t: Tables):
 
 
 @query("dq_impossible", """
-    SELECT count(*) AS readings, count(*) FILTER (coalesce(heart_rate < 10 OR heart_rate > 250 OR spo2 < 20 OR temperature_c < 25, false)) AS impossible
-    FROM vitals WHERE event_ts >= TIMESTAMP '2024-01-31' - INTERVAL 100 HOUR AND event_ts <= TIMESTAMP '2024-01-31'""")
+    WITH signals AS (
+        SELECT ts, CASE WHEN event_id % 11 <> 0 THEN event_id * 7 % 450 END AS heart_rate, event_id * 3 % 101 AS spo2, event_id * 13 % 45 AS temperature_c
+        FROM events WHERE ts >= TIMESTAMP '2024-01-31' - INTERVAL 100 HOUR AND ts <= TIMESTAMP '2024-01-31')
+    SELECT count(*) AS readings, count(*) FILTER (coalesce(heart_rate < 10 OR heart_rate > 400 OR spo2 < 20 OR temperature_c < 25, false)) AS impossible,
+           count(*) FILTER (heart_rate > 400 AND spo2 >= 20 AND temperature_c >= 25) AS by_heart_rate_alone
+    FROM signals""")
 def dq_impossible(t: Tables):
-    recent = incremental.trailing(t.vitals, "event_ts", midnight("2024-01-31"), "100 hours")
-    hr = F.when(F.col("heart_rate") > 250, 401).otherwise(F.col("heart_rate"))
+    """Signals of a device that is out of order: values from all over the range, some missing."""
+    event = F.col("event_id")
+    signals = t.raw("events").select(
+        F.col("ts").alias("event_ts"), F.when(event % 11 != 0, event * 7 % 450).alias("heart_rate"),
+        (event * 3 % 101).cast("double").alias("spo2"), (event * 13 % 45).cast("double").alias("temperature_c"))
+    recent = incremental.trailing(signals, "event_ts", midnight("2024-01-31"), "100 hours")
+    rates = clinical.vitals_impossible(F.col("heart_rate"), F.lit(97.0), F.lit(37.0))
+    rest = clinical.vitals_impossible(F.lit(80), F.col("spo2"), F.col("temperature_c"))
     return recent.agg(
         F.count(F.lit(1)).alias("readings"),
-        F.count_if(clinical.vitals_impossible(hr, F.col("spo2"), F.col("temperature_c"))).alias("impossible"))
+        F.count_if(clinical.vitals_impossible(F.col("heart_rate"), F.col("spo2"), F.col("temperature_c"))).alias("impossible"),
+        F.count_if(rates & ~rest & (F.col("heart_rate") > 200)).alias("by_heart_rate_alone"))
 
 
 RULES = [

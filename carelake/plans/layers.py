@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelake.functions import dates, privacy, text
-from carelake.operators import fraud, kpi, matching, scd
+from carelake.operators import audit, fraud, joins, kpi, lab, matching, pharmacy, quality, scd
+from carelake.sources import sinks
 from carelake.sources.readers import with_lineage
 
 PATIENT_POLICY = {"aadhaar_number": "CRITICAL", "phone_number_raw": "HIGH", "email": "HIGH"}
@@ -60,13 +63,93 @@ def match_patients(bronze: DataFrame) -> DataFrame:
     return matching.assign_global_ids(fields)
 
 
-def gold(admissions: DataFrame, claims: DataFrame, vitals: DataFrame, discharges: DataFrame) -> dict[str, DataFrame]:
-    """Reporting tables."""
-    scored = fraud.flag_rules(claims, discharges)
-    return {
+def gold(admissions: DataFrame, claims: DataFrame, vitals: DataFrame, discharges: DataFrame, labs: DataFrame | None = None,
+         stock: DataFrame | None = None, use_days: int = 365) -> dict[str, DataFrame]:
+    """Reporting tables: daily summary and fraud flags; laboratory turnaround and stock alerts where their sources are given.
+
+    `stock` has one row per drug and hospital; its daily use is that of the claims over `use_days`.
+    """
+    made = {
         "kpi_daily_summary": kpi.daily_summary(admissions, claims, vitals),
-        "fraud_flags": fraud.flags(scored),
+        "fraud_flags": fraud.flags(fraud.flag_rules(claims, discharges)),
     }
+    if labs is not None:
+        made["lab_tat_summary"] = lab.turnaround_summary(
+            labs.withColumn("summary_date", F.to_date("collected_ts")), ["summary_date", "hospital_code"],
+            critical=lab.is_critical(F.col("test_code"), F.col("result_value")))
+    if stock is not None:
+        keys = ["drug_id", "hospital_code"]
+        made["pharmacy_stock_alerts"] = pharmacy.stockout_alerts(stock, pharmacy.daily_use(claims, keys, "quantity", use_days), keys)
+    return made
+
+
+#: Columns every reporting table has to have, and the share of NULLs in percent from which a silver table stops the run.
+REQUIRED = {
+    "kpi_daily_summary": ["hospital_code", "kpi_date", "new_admissions", "readmission_rate_pct"],
+    "fraud_flags": ["claim_id", "fraud_score", "flag_date"],
+    "lab_tat_summary": ["summary_date", "hospital_code", "order_type", "p95_tat_hours"],
+    "pharmacy_stock_alerts": ["drug_id", "hospital_code", "current_stock", "days_of_stock_remaining"],
+}
+KEY_NULLS_PCT = {
+    "admissions": {"admission_id": 0.0, "patient_id": 0.0, "admission_date": 0.0},
+    "claims": {"claim_id": 0.0, "patient_id": 1.0, "claim_amount": 5.0},
+}
+
+
+def silver_findings(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Failed checks of the silver tables as (severity, message): NULL keys and claims without an admission; one scan a table."""
+    parts = []
+    for name, limits in KEY_NULLS_PCT.items():
+        rates = quality.null_rates(tables[name], limits).where("not passed")
+        parts.append(rates.select(F.lit("CRITICAL").alias("severity"), F.concat(
+            F.lit(f"{name}."), "column_name", F.lit(" is NULL in "), F.col("null_count").cast("string"), F.lit(" rows")).alias("message")))
+    lost = joins.orphans(tables["claims"], tables["admissions"], "admission_id").agg(F.sum("child_rows").alias("n")).where("n > 0")
+    parts.append(lost.select(F.lit("WARNING").alias("severity"), F.concat(
+        F.col("n").cast("string"), F.lit(" claims have no admission")).alias("message")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def gold_findings(made: Mapping[str, DataFrame], root: str) -> DataFrame:
+    """Findings from the columns of the reporting tables: personal data, missing ones, other ones than published. Reads no rows."""
+    parts = []
+    for name, df in made.items():
+        parts += [quality.forbidden_columns(df, name), quality.missing_columns(df, REQUIRED.get(name, []), name)]
+        path = f"{root}/{name}"
+        if sinks.current_version(df.sparkSession, path) is not None:
+            parts.append(quality.schema_drift(df, sinks.read_current(df.sparkSession, path).schema, name))
+    return reduce(DataFrame.unionByName, parts).select("severity", "message")
+
+
+def run_gold(root: str, silver: Mapping[str, DataFrame], run_id: str, clock: Callable[[], datetime], use_days: int = 365) -> DataFrame:
+    """Check the silver tables, build, check and publish the reporting tables under `root`, and append the audit.
+
+    Returns the audit rows of the run. Rows written are counted by the write itself. If the gate halts, nothing is
+    published, one FAILED row says why, and the error goes on. `silver`: admissions, claims, vitals (graded) and discharges; labs and stock
+    if there are any.
+    """
+    spark = silver["admissions"].sparkSession
+    began = clock()
+
+    def record(entity: str, rows: int, status: str = "SUCCESS", error: str | None = None) -> DataFrame:
+        return audit.audit_record(
+            spark, pipeline="gold_aggregation", job="gold", run_id=run_id, source="silver", entity=entity, read=rows, written=rows,
+            rejected=0, status=status, start=began, end=clock(), error=error)
+
+    made = gold(silver["admissions"], silver["claims"], silver["vitals"], silver["discharges"], silver.get("labs"),
+                silver.get("stock"), use_days)
+    try:
+        quality.enforce(silver_findings(silver).unionByName(gold_findings(made, root)))
+    except quality.GateHalted as halted:
+        record("gate", 0, "FAILED", str(halted)).write.mode("append").parquet(f"{root}/audit")
+        raise
+    rows = []
+    for name, df in made.items():
+        seen = Observation()
+        sinks.replace_table(published(df, run_id, F.lit(began)).observe(seen, F.count(F.lit(1)).alias("n")), f"{root}/{name}")
+        rows.append(record(name, seen.get["n"]))
+    done = reduce(DataFrame.unionByName, rows).coalesce(1)
+    done.write.mode("append").parquet(f"{root}/audit")
+    return done
 
 
 def published(df: DataFrame, run_id: str, refreshed_at: Column) -> DataFrame:

@@ -6,8 +6,9 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from carelake.operators import fraud, kpi, lab, pharmacy
+from carelake.operators import fraud, kpi, lab, pharmacy, quality
 from carelake.plans import layers
+from carelake.sources import sinks
 
 D = dt.date
 ADMISSION = "admission_id int, patient_id int, hospital_code string, admission_date date, discharge_date date"
@@ -188,3 +189,40 @@ def test_beds_at_a_time(spark):
         df, "unit", "since", "until", "2024-01-04").collect() if r["unit"]}
     assert got == {("A", 1): (2, round((12 + 6 + 12) / 24, 6), 3), ("A", 2): (3, 3.0, 1), ("A", 3): (2, 1.25, 0), ("A", 4): (1, 1.0, 0),
                    ("B", 2): (1, round(1 / 1440, 6), 1), ("B", 3): (1, 1.0, 0), ("B", 4): (1, 1.0, 0)}
+
+
+@pytest.fixture
+def silver(tables):
+    from carelake.streaming.parse import grade_vitals
+
+    return {"admissions": tables.admissions, "claims": tables.claims(patient=True, diagnosis=True), "vitals": grade_vitals(tables.vitals),
+            "discharges": tables.discharges, "labs": tables.labs, "stock": tables.site_stock}
+
+
+def test_gold_run_publishes_all_tables_with_their_audit(spark, silver, tmp_path):
+    root, clock = str(tmp_path / "gold"), lambda: dt.datetime(2024, 1, 31, 2)
+    for run in ("a", "b"):
+        layers.run_gold(root, silver, run, clock, 2557)
+    log = spark.read.parquet(f"{root}/audit").where("run_id = 'b'").collect()
+    assert {r["entity_name"] for r in log} == set(layers.REQUIRED) and {r["status"] for r in log} == {"SUCCESS"}
+    for r in log:
+        table = sinks.read_current(spark, f"{root}/{r['entity_name']}")
+        assert r["records_written"] == table.count() and set(layers.REQUIRED[r["entity_name"]]) <= set(table.columns)
+        assert table.where("pipeline_run_id <> 'b'").count() == 0
+    assert sum(r["records_written"] > 0 for r in log) >= 3  # hardly any claim of the smallest data is flagged
+
+
+def test_the_gate_stops_a_gold_run_before_anything_is_published(spark, silver, tmp_path):
+    root, clock = str(tmp_path / "gold"), lambda: dt.datetime(2024, 1, 31, 2)
+    broken = silver | {"admissions": silver["admissions"].withColumn("patient_id", F.when(F.col("admission_id") % 2 == 0, F.col("patient_id")))}
+    with pytest.raises(quality.GateHalted, match="admissions.patient_id is NULL in"):
+        layers.run_gold(root, broken, "run", clock)
+    log = spark.read.parquet(f"{root}/audit").collect()
+    assert [(r["entity_name"], r["status"], r["records_written"]) for r in log] == [("gate", "FAILED", 0)] and "patient_id" in log[0]["error_message"]
+    assert sinks.current_version(spark, f"{root}/kpi_daily_summary") is None
+
+
+def test_columns_of_persons_stop_a_gold_run(spark, silver, tmp_path):
+    made = layers.gold(silver["admissions"], silver["claims"], silver["vitals"], silver["discharges"])
+    found = layers.gold_findings({"fraud_flags": made["fraud_flags"].withColumn("phone_number", F.lit("x")).drop("flag_date")}, str(tmp_path)).collect()
+    assert [r["severity"] for r in found] == ["CRITICAL", "CRITICAL"]
