@@ -303,7 +303,7 @@ _STAYS_SQL = """
         WHERE p.at < TIMESTAMP '2002-01-01' GROUP BY p.hospital_code, p.at),
     hours AS (
         SELECT d.hospital_code, CAST(d.day AS DATE) AS day,
-               sum(epoch_us(least(coalesce(v.until, d.day + INTERVAL 1 DAY), d.day + INTERVAL 1 DAY)) - epoch_us(greatest(v.since, d.day))) AS micros,
+               sum(CASE WHEN v.since IS NOT NULL THEN epoch_us(least(coalesce(v.until, d.day + INTERVAL 1 DAY), d.day + INTERVAL 1 DAY)) - epoch_us(greatest(v.since, d.day)) END) AS micros,
                count(*) FILTER (v.since >= d.day) AS came
         FROM days d LEFT JOIN valid v ON v.hospital_code = d.hospital_code AND v.since < d.day + INTERVAL 1 DAY AND (v.until IS NULL OR v.until > d.day)
         GROUP BY ALL)
