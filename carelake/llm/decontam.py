@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from carelake.llm.common import arrow, blocks
 from carelake.llm.kernels import U64, mix, pieces, shingles, weighted_jaccard, words
@@ -170,6 +171,7 @@ def slices(benchmark: DataFrame, radius: int, least: float) -> Iterator[Items]:
 def found(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, least: float = SIMILARITY) -> DataFrame:
     """`doc_id`, `item_id`, `similarity` and `first_word` of the best window of every item in every document."""
     schema = f"doc_id {dict(docs.dtypes)['doc_id']}, item_id {dict(benchmark.dtypes)['item_id']}, similarity double, first_word int"
+    ids = to_arrow_type(benchmark.schema["item_id"].dataType)
     rows = docs.select("doc_id", "text")
     out = docs.sparkSession.createDataFrame([], schema)
     for items in slices(benchmark, radius, least):
@@ -182,7 +184,7 @@ def found(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, least: fl
                     hits = items.find(run.column("text"))
                     yield pa.RecordBatch.from_arrays([
                         run.column("doc_id").take(pa.array([h[0] for h in hits], pa.int64())),
-                        pa.array([items.ids[h[1]] for h in hits], pa.int64()),
+                        pa.array([items.ids[h[1]] for h in hits], ids),
                         pa.array([h[2] for h in hits], pa.float64()), pa.array([h[3] for h in hits], pa.int32()),
                     ], names=["doc_id", "item_id", "similarity", "first_word"])
 

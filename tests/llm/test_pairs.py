@@ -205,6 +205,14 @@ def test_leaks_with_edits_case_and_short_items(spark):
     assert decontam.found(df.limit(0), bench).count() == 0 and decontam.found(df, bench.limit(0)).count() == 0
 
 
+def test_items_with_text_ids(spark):
+    item = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([("d1", f"before {item} after"), ("d2", "nothing of it " * 10)], "doc_id string, text string")
+    bench = spark.createDataFrame([("b-1", item), (None, item)], "item_id string, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.found(docs, bench).collect()}
+    assert got == {("d1", "b-1"), ("d1", None)}
+
+
 def test_slices_of_items_give_the_same(small, monkeypatch):
     docs, items = small("documents").where("length(text) < 3000"), small("benchmark")
     whole = {tuple(r) for r in decontam.found(docs, items).collect()}
