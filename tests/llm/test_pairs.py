@@ -108,6 +108,58 @@ def test_large_group_of_near_copies_and_a_bridge(spark, scratch):
     assert {got[i] for i in range(140)} == {0} and {got[500 + i] for i in range(40)} == {500}
 
 
+def family(seed, n, words, share):
+    """Texts made from one by changing about `share` of the words, in a few runs."""
+    r = random.Random(seed)
+    base = prose(seed, words).split()
+    out = []
+    for _ in range(n):
+        text = list(base)
+        for _ in range(r.randrange(1, 5)):
+            at, length = r.randrange(words), max(1, int(words * share / 3 * r.random()))
+            text[at: at + length] = [f"n{r.randrange(10**6)}" for _ in text[at: at + length]]
+        out.append(" ".join(text))
+    return out
+
+
+@pytest.mark.parametrize("tile", [dart.TILE, 2000])
+def test_family_between_the_thresholds_matches_brute_force(spark, scratch, tile, monkeypatch):
+    texts = family(21, 150, 90, 0.3) + family(22, 60, 40, 0.2)
+    counted = [grams(t) for t in texts]
+    pairs = [(a, b) for b in range(len(texts)) for a in range(b)]
+    alike = {p: similarity(counted[p[0]], counted[p[1]]) for p in pairs}
+    assert sum(0.6 < v < 0.8 for v in alike.values()) > 1000
+    want = components(range(len(texts)), [p for p, v in alike.items() if v >= 0.8])
+    assert 10 < len(set(want.values())) < len(texts) - 10
+    monkeypatch.setattr(dart.joined, "__defaults__", (dart.SIMILARITY, tile))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in dart.grouped(docs, scratch).collect()} == want
+
+
+def test_forest_joins_groups_as_all_links_would():
+    texts = family(5, 60, 60, 0.3)
+    units = [np.sort(dart.units(v, np.zeros(len(v), np.int64))) for v in (shingles(words(pa.array([t])))[0] for t in texts)]
+    counted = [grams(t) for t in texts]
+    r = random.Random(4)
+    group, tile = np.array([r.choice((i, i // 3)) for i in range(60)]), np.array([r.randrange(2) for _ in range(60)])
+    held = [(int(a), int(np.flatnonzero(group == group[a])[0])) for a in range(60)]
+    for i, j in ((0, 0), (0, 1), (1, 1)):
+        links = [(a, b) for a in range(60) for b in range(60) if tile[a] == i and tile[b] == j and a != b
+                 and similarity(counted[a], counted[b]) >= 0.8]
+        got = dart.forest(group, tile, units, i, j)
+        assert components(range(60), held + [(int(a), int(b)) for a, b in got]) == components(range(60), held + links)
+        assert len(got) < len(set(group.tolist()))
+
+
+def test_texts_of_a_repeated_id_are_nodes_of_their_own(spark, scratch):
+    base, other = prose(31, 100), prose(32, 100)
+    rows = [(1, base), (1, other), (2, other + " more"), (3, base + " more"), (4, prose(33, 50)), (1, prose(34, 60))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in dart.grouped(docs, scratch).collect()} == {1: 1, 2: 1, 3: 1, 4: 4}
+    kept = dart.kept(docs, type(scratch)(spark, "again"))
+    assert {(r.doc_id, r.text) for r in kept.collect()} == {rows[0], rows[1], rows[4], rows[5]}
+
+
 def test_near_copies_on_odd_rows(odd, empty, scratch):
     got = {r.doc_id: r for r in dart.grouped(odd, scratch).collect()}
     assert set(got) == {1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12}
