@@ -224,14 +224,15 @@ def forest(group: np.ndarray, tile: np.ndarray, units_of: list[np.ndarray], i: i
     return links
 
 
-def joined(members: DataFrame, least: float = SIMILARITY, tile: int = TILE) -> DataFrame:
-    """Links (`a`, `b`) that join the groups `g` of every `bucket`; a member has its `node`, `units` and `n`."""
+def joined(members: DataFrame, texts: DataFrame, least: float = SIMILARITY, tile: int = TILE) -> DataFrame:
+    """Links (`a`, `b`) between the members (`bucket`, `node`, `g`) of a bucket that join its groups `g`."""
+    members = members.join(texts.select("node", "n"), "node")
     totals = members.groupBy("bucket").agg(F.ceil(F.sum("n") / tile).cast("int").alias("tiles"))
     own = F.pmod(F.xxhash64("node", F.lit("tile")), F.col("tiles")).cast("int")
     tiled = join_summary(members, totals, ["bucket"], "inner").withColumn("tile", own).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    dealt = tiled.select("bucket", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"),
-                         "tile", "node", "g", "units").repartition("bucket", "i", "j")
+    tiled = tiled.select("bucket", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "node", "g")
+    dealt = tiled.join(texts.select("node", "units"), "node").repartition("bucket", "i", "j")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -289,8 +290,7 @@ def linked(docs: DataFrame, scratch: Scratch, n_bands: int = BANDS, rows: int =
     now = inside.join(of, "node", "left").select("bucket", "node", F.coalesce("g", "node").alias("g"))
     now = scratch.keep(now, "grouped")
     open_ = now.groupBy("bucket").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo <> hi").select("bucket")
-    members = join_summary(now, open_, ["bucket"], "inner").join(texts.select("node", "units", "n"), "node")
-    links = scratch.keep(joined(members, least).union(links), "links")
+    links = scratch.keep(joined(join_summary(now, open_, ["bucket"], "inner"), texts, least).union(links), "links")
     scratch.drop("texts", "buckets", "grouped")
     return member, links
 
