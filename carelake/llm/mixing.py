@@ -8,7 +8,7 @@
 3. Curriculum: a source's weight moves linearly from `base * (1 - slope)` to `base * (1 + slope)` over the run. Its
    integral, scaled to the source's target, is the demand up to time t; the inverse of it at a document's stretch is the
    document's position in training. `training_order` and `repeated` sort by position with a range partitioning; `digest`
-   returns how often a document is read, without positions.
+   returns the position at which a document is first read, and its rank among the documents by it.
 
 Null and empty texts have size 0 and are taken 0 words. The null source is a source of its own, after all others.
 Repeated rows are documents of their own; rows equal in id and text are interchangeable. The last document of a source
@@ -147,10 +147,30 @@ def repeated(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     return both.repartitionByRange(*ORDER, "tie").sortWithinPartitions(*ORDER, "tie").select(*docs.columns)
 
 
+def ranked(rows: DataFrame, scratch: Scratch, by: str, name: str) -> DataFrame:
+    """Add `name`, the rank by the column `by` over the whole table, and null where `by` is null.
+
+    Rows lie in ranges of `by`; a rank is that inside the range and the rows of the ranges before, which are added up in a
+    small table. No task holds more than a range.
+    """
+    held = scratch.keep(rows.where(F.col(by).isNotNull()).repartitionByRange(by).withColumn("part", F.spark_partition_id()), name)
+    totals = held.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    ahead = totals.select("part", F.coalesce(F.sum("n").over(
+        Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ahead"))
+    inside = held.withColumn("inside", F.rank().over(Window.partitionBy("part").orderBy(by)))
+    whole = inside.join(F.broadcast(ahead), "part").select(*rows.columns, (F.col("inside") + F.col("ahead")).alias(name))
+    return whole.unionByName(rows.where(F.col(by).isNull()).withColumn(name, F.lit(None).cast("long")))
+
+
 def digest(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    mixed = curriculum(docs, scratch)
+    """Per document how many of its words are taken, at which position of the run it is first read, and as which document.
+
+    The first reading has the least position. A document that is not read has neither position nor rank.
+    """
     taken = F.expr("aggregate(reads, 0L, (a, r) -> a + r.words)")
-    return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+    mixed = curriculum(docs, scratch).select("doc_id", "size", "source_size", "target", taken.alias("taken"),
+                                             F.get("reads", F.lit(0))["position"].alias("first_position"))
+    return ranked(scratch.keep(mixed, "mixed"), scratch, "first_position", "first_rank")
 
 
 #: The same by SQL: one running sum per source.
@@ -160,7 +180,8 @@ WITH d AS (
          md5(coalesce(doc_id::VARCHAR, '')) AS place FROM documents),
 s AS (
   SELECT source, sum(size)::BIGINT AS source_size,
-         ([5.0, 2.0, 1.0])[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS w
+         ([5.0, 2.0, 1.0])[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS w,
+         ([-0.5, 0.0, 0.5])[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS slope
   FROM d GROUP BY source),
 l AS (
   SELECT *, source_size * 3.0::DOUBLE AS lim, sum(source_size) OVER ()::DOUBLE AS total FROM s),
@@ -170,15 +191,21 @@ o AS (
   FROM l),
 f AS (SELECT *, (total - spent) * w >= lim * open AS is_full FROM o),
 t AS (
-  SELECT source, source_size, CASE WHEN is_full THEN lim ELSE
+  SELECT source, source_size, w, slope, CASE WHEN is_full THEN lim ELSE
            (total - coalesce(sum(lim) FILTER (is_full) OVER (), 0)) / sum(w) FILTER (NOT is_full) OVER () * w END AS target
   FROM f),
 p AS (
-  SELECT doc_id, d.source, size, source_size, target, floor(target)::BIGINT AS quota,
+  SELECT doc_id, d.source, size, source_size, target, floor(target)::BIGINT AS quota, w * (1 - slope) AS w0, w * (1 + slope) AS w1,
          coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY place, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       (greatest(0, least(size, quota - start)) + greatest(0, least(size, quota - start - source_size))
-        + greatest(0, least(size, quota - start - 2 * source_size)))::BIGINT AS taken
-FROM p
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+r AS (
+  SELECT doc_id, size, source_size, target,
+         (greatest(0, least(size, quota - start)) + greatest(0, least(size, quota - start - source_size))
+          + greatest(0, least(size, quota - start - 2 * source_size)))::BIGINT AS taken, w0, w1,
+         CASE WHEN least(size, quota - start) > 0 THEN (start + least(size, quota - start) / 2::DOUBLE) / target * (w0 + w1) END AS y
+  FROM p),
+f1 AS (
+  SELECT doc_id, size, source_size, target, taken, y / (w0 + sqrt(w0 * w0 + (w1 - w0) * y)) AS first_position FROM r)
+SELECT *, CASE WHEN first_position IS NOT NULL THEN rank() OVER (ORDER BY first_position NULLS LAST) END AS first_rank
+FROM f1
 """

@@ -106,6 +106,35 @@ def test_pipeline_rows_and_blocks_are_in_training_order(spark, scratch):
         assert [r.doc_id for r in blocks] == want
 
 
+def test_schedules_order_the_documents_of_the_mix(spark, scratch, monkeypatch):
+    """What a schedule does to the positions is in the result: the order of the documents follows it."""
+    rows = [(s * 1000 + i, f"t{s} {i} " * (1 + i % 7), "abc"[s]) for i in range(300) for s in range(3)] + [
+        (None, "no id", "b"), (5000, " ", "a"), (5001, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in mixing.digest(docs, scratch).collect()}
+    order = mixing.training_order(mixing.curriculum(docs, scratch_of(scratch, "order"))).collect()
+    firsts = {}
+    for r in order:
+        firsts.setdefault(r.doc_id, r.position)
+    assert {i: r.first_position for i, r in got.items() if r.first_position is not None} == firsts
+    positions = sorted(firsts.values())
+    assert all(r.first_rank == 1 + positions.index(r.first_position) for r in got.values() if r.first_position is not None)
+    assert got[5000].first_rank is None and got[5001].first_position is None and got[5000].taken == got[5001].taken == 0
+    monkeypatch.setattr(mixing, "SLOPES", (0.0, 0.0, 0.0))
+    level = {r.doc_id: r for r in mixing.digest(docs, scratch_of(scratch, "level")).collect()}
+    assert [level[i].taken for i in sorted(firsts, key=str)] == [got[i].taken for i in sorted(firsts, key=str)]
+    assert any(level[i].first_rank != got[i].first_rank for i in firsts)
+
+
+def test_mix_matches_its_sql_on_odd_rows(odd, scratch):
+    named = odd.where("doc_id is not null").dropDuplicates(["doc_id"])
+    same(mixing.digest(named, scratch), mixing.SQL, documents=named.select("doc_id", "text", "source"))
+
+
+def scratch_of(scratch, name):
+    return type(scratch)(scratch.spark, name)
+
+
 def test_empty_mix(empty, scratch):
     assert mixing.digest(empty, scratch).count() == 0
 
