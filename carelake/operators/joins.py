@@ -47,7 +47,7 @@ def join_summary(detail: DataFrame, summary: DataFrame, keys: Sequence[str], how
     return detail.join(other, packed, how).drop(*names.values())
 
 
-def settled(df: DataFrame) -> DataFrame:
+def settled(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """The rows written to the shared checkpoint folder and read back, so that their size is known.
 
     For results that are small by nature but whose size the optimizer cannot foresee, such as rule hits:
@@ -55,10 +55,24 @@ def settled(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{use_checkpoint_dir(spark)}/settled-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def source_bytes(df: DataFrame) -> int:
+    """Size of the tables that the rows are made from, as the optimizer estimates it."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def reused(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Rows that several steps read: each makes them again while their tables are below `limit`, else they are written once.
+
+    Joins that shuffle large tables are then made once instead of once per step. Select the columns that are needed before.
+    """
+    return settled(df, "zstd") if source_bytes(df) > limit else df
+
+
 def changed_rows(incoming: DataFrame, current: DataFrame, key: str, new_hash: str, old_hash: str) -> DataFrame:
     """Incoming rows whose key exists with a different hash."""
     known = current.select(F.col(key), F.col(old_hash))
@@ -113,11 +127,13 @@ def recent_event_flag(df: DataFrame, events: DataFrame, key: str, at: str, event
         .groupBy(key, "_bucket")
         .agg(F.collect_set("_e").alias("_events"))
     )
-    own = F.unix_seconds(F.col(at).cast("timestamp"))
-    flagged = df.withColumn("_at", own).withColumn("_bucket", F.floor(F.col("_at") / F.lit(seconds)))
+    known = known.withColumnsRenamed({key: "_key"})
+    timed = df.withColumn("_at", F.unix_seconds(F.col(at).cast("timestamp")))
+    # As in `join_summary`; the bucket is part of the join condition alone, so that it is not shuffled as a column.
+    same = F.struct(timed[key], F.floor(timed["_at"] / F.lit(seconds))) == F.struct(known["_key"], known["_bucket"])
     gap = F.exists("_events", lambda e: (F.col("_at") >= e) & (F.col("_at") - e < seconds))
     return (
-        join_summary(flagged, known, [key, "_bucket"])
+        timed.join(known, same, "left")
         .withColumn(name, F.coalesce(gap, F.lit(False)).cast("int"))
-        .drop("_at", "_bucket", "_events")
+        .drop("_at", "_key", "_bucket", "_events")
     )

@@ -71,7 +71,7 @@ def gold(admissions: DataFrame, claims: DataFrame, vitals: DataFrame, discharges
     """
     made = {
         "kpi_daily_summary": kpi.daily_summary(admissions, claims, vitals),
-        "fraud_flags": fraud.flags(fraud.flag_rules(claims, discharges)),
+        "fraud_flags": fraud.flags(fraud.flag_rules(claims, discharges, at_least=fraud.FLAG_SCORE)),
     }
     if labs is not None:
         made["lab_tat_summary"] = lab.turnaround_summary(

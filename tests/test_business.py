@@ -76,6 +76,23 @@ def test_fraud_rules(spark):
     assert [r["claim_id"] for r in flagged] == ["c80"]
 
 
+def test_discharges_are_looked_up_where_they_decide(spark, monkeypatch):
+    at = dt.datetime(2024, 1, 10, 11, 30)
+    rows = [a_claim(1, claim_amount=250000.0)]                                                     # 2, and 4 with a discharge
+    rows += [a_claim(10 + i, patient_id=500, procedure_code="R", physician_id=None) for i in range(3)]  # 3, and 5
+    rows += [a_claim(20 + i, patient_id=600, procedure_code="R", claim_amount=250000.0) for i in range(3)]  # 5
+    rows += [a_claim(30, diagnosis_code=None, claim_amount=None), a_claim(31, patient_id=None)]
+    claims = spark.createDataFrame(rows, CLAIM)
+    discharges = spark.createDataFrame([(1, at), (500, at)], "patient_id int, discharge_ts timestamp")
+    asked = []
+    look_up = fraud.recent_event_flag
+    monkeypatch.setattr(fraud, "recent_event_flag", lambda df, *rest: asked.append(df.count()) or look_up(df, *rest))
+    every = fraud.flag_rules(claims, discharges)
+    found = fraud.flag_rules(claims, discharges, at_least=fraud.FLAG_SCORE)
+    assert asked == [len(rows), 6]
+    assert sorted(every.filter("fraud_score >= 5").collect(), key=str) == sorted(found.collect(), key=str) and found.count() == 6
+
+
 @pytest.mark.parametrize("amount, points", [(250000, 2), (50000, 0), (200000, 0), (None, 0)])
 def test_amount_points(spark, amount, points):
     df = spark.createDataFrame([(amount,)], "a int")
