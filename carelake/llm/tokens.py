@@ -18,7 +18,7 @@ Repeated rows are written each. An empty table gives an empty result. Other colu
 
 from __future__ import annotations
 
-import re
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -53,9 +53,10 @@ class Encoder:
     """Ids of whole texts by the tokenizers library.
 
     A byte-level pre-tokenizer never joins a visible character with one before a single space or line feed in front of
-    the next visible one. Texts are parted there, and the ids of a piece are looked up or encoded once; the pieces that
-    are new in a batch are encoded together, parted by the end-of-text mark. Texts with a mark, a NUL or two gap
-    characters in a row go to the library whole.
+    the next visible one. Texts are parted there, and the ids of a piece are looked up or encoded once. A new piece that
+    is a word, maybe after a gap and before signs, is cut as the pre-tokenizer cuts it: its signs are few, and its word
+    is encoded with the other new words as one text. Other new pieces of a batch are encoded together, parted by the
+    end-of-text mark. Texts with a mark, a NUL or two gap characters in a row go to the library whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -66,6 +67,18 @@ class Encoder:
         self.mark, self.mark_id = next(iter(special.items()), (None, None))
         self.specials = tuple(special)
         self.known: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.opens[[i for token, i in vocabulary.items() if token.startswith("Ġ") or token == "Ċ"]] = True
+        self.cuts_words = {"Ġ", "Ċ"} <= vocabulary.keys() and self._cuts_words()
+
+    def _cuts_words(self) -> bool:
+        """Whether the pre-tokenizer cuts gap, word and signs apart, and the text is not changed before."""
+        cut = self.tokenizer.pre_tokenizer and [
+            self.tokenizer.pre_tokenizer.pre_tokenize_str(text) for text in (f"a\nAz Za{SIGNS} é{SIGNS}", f"{SIGNS}\na")]
+        return bool(cut) and self.tokenizer.normalizer is None and [[at for _, at in parts] for parts in cut] == [
+            [(0, 1), (1, 2), (2, 4), (4, 7), (7, 7 + len(SIGNS)), (7 + len(SIGNS), 9 + len(SIGNS)), (9 + len(SIGNS), 9 + 2 * len(SIGNS))],
+            [(0, len(SIGNS)), (len(SIGNS), len(SIGNS) + 1), (len(SIGNS) + 1, len(SIGNS) + 2)]]
 
     def _direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -75,42 +88,80 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Little-endian uint32 ids of each text, without the end id."""
-        out: list[bytes | None] = [None] * len(texts)
         if len(self.known) > REMEMBERED:
             self.known = {}
-        known = self.known
-        waiting: list[tuple[int, list[str]]] = []
-        new: dict[str, None] = {}
+        out: list[bytes | None] = [None] * len(texts)
+        waiting: list[tuple[int, list[str], list[bytes | None]]] = []
+        new: set[str] = set()
         for i, text in enumerate(texts):
             if self._whole(text):
                 out[i] = self._direct(text)
                 continue
             parts = _part(text)
-            found = list(map(known.get, parts))
+            found = list(map(self.known.get, parts))
             if None in found:
-                new.update((p, None) for p, ids in zip(parts, found, strict=True) if ids is None)
-                waiting.append((i, parts))
+                new.update([p for p, ids in zip(parts, found, strict=True) if ids is None])
+                waiting.append((i, parts, found))
             else:
                 out[i] = b"".join(found)
-        fresh = list(new)
-        runs = [fresh[start: start + 512] for start in range(0, len(fresh), 512)]
+        self._learn(new)
+        known = self.known
+        for i, parts, found in waiting:
+            out[i] = b"".join([known[p] if ids is None else ids for p, ids in zip(parts, found, strict=True)])
+        return out
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Remember the ids of new pieces."""
+        known = self.known
+        words: set[str] = set()
+        signed: list[tuple[str, str, str, str]] = []
+        others: list[str] = []
+        for piece in pieces if self.cuts_words else ():
+            head = piece.rstrip(SIGNS)
+            gap = head[:1]
+            letters = head[1:] if gap in GAPS else head
+            if not letters.isalpha() or not (letters.isascii() or max(letters) < LETTERS_END):
+                others.append(piece)
+                continue
+            word = letters if gap == "\n" else head
+            if word not in known:
+                words.add(word)
+            if word != piece:
+                signed.append((piece, "\n" if gap == "\n" else "", word, piece[len(head):]))
+        self._encode_words(list(words))
+        self._encode_others(others if self.cuts_words else list(pieces))
+        for part in {part for _, gap, _, signs in signed for part in (gap, signs)}.difference(known):
+            known[part] = self._direct(part)
+        for piece, gap, word, signs in signed:
+            known[piece] = known[gap] + known[word] + known[signs]
+
+    def _encode_words(self, words: list[str]) -> None:
+        """Words of letters, with or without a space before; in a text the id with the space, or of the line feed, opens each."""
+        runs = [words[start: start + 512] for start in range(0, len(words), 512)]
+        made = self.tokenizer.encode_batch_fast(
+            ["".join([w if w[0] == " " else "\n" + w for w in run]) for run in runs], add_special_tokens=False)
+        for run, encoded in zip(runs, made, strict=True):
+            ids = np.array(encoded.ids, "<u4")
+            data, cuts = ids.tobytes(), [*np.flatnonzero(self.opens[ids]).tolist(), len(ids)]
+            for word, lo, hi in zip(run, cuts[:-1], cuts[1:], strict=True):
+                self.known[word] = data[4 * lo + (0 if word[0] == " " else 4): 4 * hi]
+
+    def _encode_others(self, pieces: list[str]) -> None:
+        runs = [pieces[start: start + 512] for start in range(0, len(pieces), 512)]
         joined = self.tokenizer.encode_batch_fast([self.mark.join(run) for run in runs], add_special_tokens=False)
         for run, encoded in zip(runs, joined, strict=True):
             ids = np.array(encoded.ids, "<u4")
             cuts = np.flatnonzero(ids == self.mark_id)
             data, lo = ids.tobytes(), 0
             for piece, hi in zip(run, [*cuts.tolist(), len(ids)], strict=True):
-                known[piece] = data[4 * lo: 4 * hi]
+                self.known[piece] = data[4 * lo: 4 * hi]
                 lo = hi + 1
-        for i, parts in waiting:
-            out[i] = b"".join(map(known.__getitem__, parts))
-        return out
 
 
 def _part(text: str) -> list[str]:
     """Pieces that start with a single space or line feed between two visible characters."""
     parts = text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
-    if text == text.strip() and not any(two in text for two in DOUBLE_GAPS) and not OTHER_GAP.search(text):
+    if text == text.strip() and not any(two in text for two in DOUBLE_GAPS) and not any(gap in text for gap in OTHER_GAPS):
         return parts
     out = []
     for piece in parts:
@@ -122,14 +173,22 @@ def _part(text: str) -> list[str]:
     return out
 
 
+#: Signs of ASCII but the apostrophe, which may begin a suffix of the word.
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+GAPS = (" ", "\n")
+
+#: Latin, Greek and Cyrillic letters are below; they are letters in every version of Unicode that a library may follow.
+LETTERS_END = "\u0530"
+
 DOUBLE_GAPS = ("  ", "\n\n", " \n", "\n ")
-OTHER_GAP = re.compile(r"[^\S \n]")
+OTHER_GAPS = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c not in GAPS)
 
 _ENCODERS: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """One encoder per worker and vocabulary file."""
+    """One encoder per worker and vocabulary file; a task has one core, so the library starts no threads beside it."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]

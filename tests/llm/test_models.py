@@ -39,6 +39,20 @@ def test_pieces_give_the_ids_of_whole_texts(plain):
         assert ids == np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
 
 
+def test_a_word_is_encoded_once_whatever_signs_follow(plain, monkeypatch):
+    made = tokens.Encoder(queries.vocabulary())
+    words, others = [], []
+    encode_words, encode_others = made._encode_words, made._encode_others
+    monkeypatch.setattr(made, "_encode_words", lambda new: words.extend(new) or encode_words(new))
+    monkeypatch.setattr(made, "_encode_others", lambda new: others.extend(new) or encode_others(new))
+    texts = ["Haanth ción\nHaanth, ción. Ωmega ción...\nción!", "ción; (x it's 3rd 漢字. ſ ² ª. Ǆ \nĠ ΐ", "ción Haanth", "Ċ Ġ, ġ a-b .a"]
+    for text in texts:
+        assert made([text]) == [np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()], text
+    assert sorted(w for w in words if w.strip() in ("ción", "Haanth")) == [" Haanth", " ción", "Haanth", "ción"]
+    assert {" (x", " it's", " 3rd", " 漢字."} <= set(others) and not any(w.strip(" \n").isalpha() and w.isascii() for w in others)
+    assert len(words) == len(set(words))
+
+
 @pytest.mark.parametrize("top", [0, 1, 300, 65_535, 2**32 - 1])
 def test_blocks_round_trip(top):
     r = np.random.default_rng(top)
