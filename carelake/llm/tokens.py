@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from carelake.llm.common import Scratch, arrow
-from carelake.llm.kernels import pieces
+from carelake.llm.kernels import pieces, raw
 
 MAGIC = b"PFB1"
 BLOCK = 128
@@ -40,9 +40,13 @@ SEGMENT_IDS = 1 << 18
 
 END_ID = 0
 
-#: Distinct text pieces whose ids a worker remembers (about 200 bytes each); then it starts anew.
+#: Distinct text pieces whose ids a worker remembers (about 200 bytes each), beside those of the batch at hand; the half
+#: that was learned first goes, but for what was met again.
 REMEMBERED = 800_000
 
+#: Bytes of text that are cut and looked up at a time.
+BATCH_BYTES = 4 << 20
+
 SEGMENT = "part int, seg int, n_ids long, doc_ids array<bigint>, data binary"
 DECODED = "part int, seg int, doc_id bigint, at long, n_tokens long, ids_crc32 long"
 
@@ -53,10 +57,11 @@ class Encoder:
     """Ids of whole texts by the tokenizers library.
 
     A byte-level pre-tokenizer never joins a visible character with one before a single space or line feed in front of
-    the next visible one. Texts are parted there, and the ids of a piece are looked up or encoded once. A new piece that
-    is a word, maybe after a gap and before signs, is cut as the pre-tokenizer cuts it: its signs are few, and its word
-    is encoded with the other new words as one text. Other new pieces of a batch are encoded together, parted by the
-    end-of-text mark. Texts with a mark, a NUL or two gap characters in a row go to the library whole.
+    the next visible one, nor a line feed with a visible character, nor an ASCII letter with a sign behind it. The texts
+    of a batch are cut there at once, and each distinct piece of the batch is looked up, or encoded, once. A new piece
+    that is a word, maybe after a space and before signs, is cut as the pre-tokenizer cuts it: its signs are few, and its
+    word is encoded with the other new words as one text. Other new pieces of a batch are encoded together, parted by the
+    end-of-text mark. Texts with a mark go to the library whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -67,6 +72,7 @@ class Encoder:
         self.mark, self.mark_id = next(iter(special.items()), (None, None))
         self.specials = tuple(special)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.opens[[i for token, i in vocabulary.items() if token.startswith("Ġ") or token == "Ċ"]] = True
@@ -83,57 +89,77 @@ class Encoder:
     def _direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _whole(self, text: str) -> bool:
-        return "\0" in text or any(m in text for m in self.specials) or self.mark is None
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
+    def __call__(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Little-endian uint32 ids of each text, without the end id."""
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        out: list[bytes | None] = [None] * len(texts)
-        waiting: list[tuple[int, list[str], list[bytes | None]]] = []
-        new: set[str] = set()
-        for i, text in enumerate(texts):
-            if self._whole(text):
-                out[i] = self._direct(text)
-                continue
-            parts = _part(text)
-            found = list(map(self.known.get, parts))
-            if None in found:
-                new.update([p for p, ids in zip(parts, found, strict=True) if ids is None])
-                waiting.append((i, parts, found))
-            else:
-                out[i] = b"".join(found)
-        self._learn(new)
-        known = self.known
-        for i, parts, found in waiting:
-            out[i] = b"".join([known[p] if ids is None else ids for p, ids in zip(parts, found, strict=True)])
-        return out
+        data, at = raw(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts)
+        ends = at.tolist()
+        whole = self._whole(data, ends)
+        if whole:
+            rest = [i for i in range(len(texts)) if i not in whole]
+            out = [whole.get(i, b"") for i in range(len(texts))]
+            for i, ids in zip(rest, self([_text(data, ends, i) for i in rest]) if rest else [], strict=True):
+                out[i] = ids
+            return out
+        cells = _cells(data, at, self.cuts_words)
+        if len(cells) < 2:
+            return [b""] * len(texts)
+        coded = pa.LargeStringArray.from_buffers(
+            len(cells) - 1, pa.py_buffer(cells), pa.py_buffer(data)).dictionary_encode()
+        distinct = self._ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        _, offsets, ids = pa.array(distinct, pa.large_binary()).take(coded.indices).buffers()
+        starts = np.frombuffer(offsets, np.int64)[np.searchsorted(cells, at)].tolist()
+        made = memoryview(ids) if ids else memoryview(b"")
+        return [made[lo:hi].tobytes() for lo, hi in zip(starts[:-1], starts[1:], strict=True)]
+
+    def _whole(self, data: np.ndarray, ends: list[int]) -> dict[int, bytes]:
+        """Ids of the texts with a mark, by place; without a mark in the vocabulary, of all texts."""
+        if self.mark is not None:
+            held = data.tobytes()
+            if not any(m.encode() in held for m in self.specials):
+                return {}
+        texts = [_text(data, ends, i) for i in range(len(ends) - 1)]
+        return {i: self._direct(text) for i, text in enumerate(texts)
+                if self.mark is None or any(m in text for m in self.specials)}
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces."""
+        if len(self.known) > REMEMBERED // 2:
+            self.known, self.older = {}, self.known
+        found = list(map(self.known.get, pieces))
+        if None in found:
+            self._learn({p for p, ids in zip(pieces, found, strict=True) if ids is None and not self._kept(p)})
+            known = self.known
+            found = [known[p] if ids is None else ids for p, ids in zip(pieces, found, strict=True)]
+        return found
+
+    def _kept(self, piece: str) -> bool:
+        """Whether the ids of a piece are known, or were known before."""
+        if piece not in self.known and piece in self.older:
+            self.known[piece] = self.older[piece]
+        return piece in self.known
 
     def _learn(self, pieces: set[str]) -> None:
         """Remember the ids of new pieces."""
         known = self.known
         words: set[str] = set()
-        signed: list[tuple[str, str, str, str]] = []
+        signed: list[tuple[str, str, str]] = []
         others: list[str] = []
         for piece in pieces if self.cuts_words else ():
-            head = piece.rstrip(SIGNS)
-            gap = head[:1]
-            letters = head[1:] if gap in GAPS else head
+            word = piece.rstrip(SIGNS)
+            letters = word[1:] if word[:1] == " " else word
             if not letters.isalpha() or not (letters.isascii() or max(letters) < LETTERS_END):
                 others.append(piece)
                 continue
-            word = letters if gap == "\n" else head
-            if word not in known:
+            if word == piece or not self._kept(word):
                 words.add(word)
             if word != piece:
-                signed.append((piece, "\n" if gap == "\n" else "", word, piece[len(head):]))
+                signed.append((piece, word, piece[len(word):]))
         self._encode_words(list(words))
         self._encode_others(others if self.cuts_words else list(pieces))
-        for part in {part for _, gap, _, signs in signed for part in (gap, signs)}.difference(known):
-            known[part] = self._direct(part)
-        for piece, gap, word, signs in signed:
-            known[piece] = known[gap] + known[word] + known[signs]
+        for signs in {signs for _, _, signs in signed}.difference(known):
+            known[signs] = self._direct(signs)
+        for piece, word, signs in signed:
+            known[piece] = known[word] + known[signs]
 
     def _encode_words(self, words: list[str]) -> None:
         """Words of letters, with or without a space before; in a text the id with the space, or of the line feed, opens each."""
@@ -158,30 +184,60 @@ class Encoder:
                 lo = hi + 1
 
 
-def _part(text: str) -> list[str]:
-    """Pieces that start with a single space or line feed between two visible characters."""
-    parts = text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
-    if text == text.strip() and not any(two in text for two in DOUBLE_GAPS) and not any(gap in text for gap in OTHER_GAPS):
-        return parts
-    out = []
-    for piece in parts:
-        # A gap that stands alone, or beside another gap, belongs to what is before and after it.
-        if out and (len(piece) < 2 or piece[1].isspace() or out[-1][-1:].isspace() or not out[-1]):
-            out[-1] += piece
-        else:
-            out.append(piece)
-    return out
+def _text(data: np.ndarray, ends: list[int], i: int) -> str:
+    return data[ends[i]: ends[i + 1]].tobytes().decode()
+
+
+def _cells(data: np.ndarray, at: np.ndarray, cuts_words: bool) -> np.ndarray:
+    """Where the pieces of the texts start in their bytes, and the end of the last one."""
+    kind = KINDS[data]
+    _mark_wide_gaps(data, kind)
+    edge = np.zeros(len(data) + 1, bool)
+    edge[at] = True
+    gaps = np.flatnonzero((kind == SPACE) | (kind == LINE_FEED))
+    # A gap at the end of a text, or beside another gap, belongs to what is before and after it.
+    gaps = gaps[~(edge[gaps] | edge[gaps + 1])]
+    gaps = gaps[(kind[gaps - 1] < SPACE) & (kind[gaps + 1] < SPACE)]
+    edge[gaps] = True
+    if cuts_words:
+        edge[gaps[kind[gaps] == LINE_FEED] + 1] = True
+        signs = np.flatnonzero(kind[1:] == SIGN) + 1
+        edge[signs[kind[signs - 1] == LETTER]] = True
+    return np.flatnonzero(edge).astype(np.int64)
+
+
+def _mark_wide_gaps(data: np.ndarray, kind: np.ndarray) -> None:
+    """All bytes of a gap character beyond ASCII become OTHER_GAP."""
+    leads = np.flatnonzero(kind == WIDE_LEAD)
+    kind[leads] = OTHER
+    leads = leads[leads + 1 < len(data)]
+    two = leads[data[leads] == 0xC2]
+    two = two[np.isin(data[two + 1], [c[1] for c in WIDE_GAPS if len(c) == 2])]
+    three = leads[(data[leads] != 0xC2) & (leads + 2 < len(data))]
+    code = (data[three].astype(np.int32) << 16) | (data[three + 1].astype(np.int32) << 8) | data[three + 2]
+    three = three[np.isin(code, [int.from_bytes(c) for c in WIDE_GAPS if len(c) == 3])]
+    for places, size in ((two, 2), (three, 3)):
+        for i in range(size):
+            kind[places + i] = OTHER_GAP
 
 
 #: Signs of ASCII but the apostrophe, which may begin a suffix of the word.
 SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-GAPS = (" ", "\n")
 
 #: Latin, Greek and Cyrillic letters are below; they are letters in every version of Unicode that a library may follow.
 LETTERS_END = "\u0530"
 
-DOUBLE_GAPS = ("  ", "\n\n", " \n", "\n ")
-OTHER_GAPS = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c not in GAPS)
+#: Kinds of bytes; those of gap characters are the largest.
+OTHER, LETTER, SIGN, WIDE_LEAD, SPACE, LINE_FEED, OTHER_GAP = range(7)
+
+#: Gap characters beyond ASCII, and the kind of every byte; WIDE_LEAD is that of the first bytes of such characters.
+WIDE_GAPS = [c.encode() for c in map(chr, range(0x80, 0x3001)) if c.isspace()]
+KINDS = np.zeros(256, np.uint8)
+KINDS[[b for b in range(128) if chr(b).isspace()]] = OTHER_GAP
+KINDS[[ord(" "), ord("\n")]] = SPACE, LINE_FEED
+KINDS[[b for b in range(128) if chr(b).isalpha()]] = LETTER
+KINDS[list(SIGNS.encode())] = SIGN
+KINDS[[c[0] for c in WIDE_GAPS]] = WIDE_LEAD
 
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -302,9 +358,8 @@ def write(docs: DataFrame, scratch: Scratch, tokenizer: str, name: str = "segmen
             return row
 
         for batch in batches:
-            for run in pieces(batch, "text", 1 << 20):
-                texts = run.column("text").fill_null("").to_pylist()
-                for doc_id, ids in zip(run.column("doc_id").to_pylist(), ids_of(texts), strict=True):
+            for run in pieces(batch, "text", BATCH_BYTES):
+                for doc_id, ids in zip(run.column("doc_id").to_pylist(), ids_of(run.column("text")), strict=True):
                     names.append(doc_id)
                     held.append(ids + end)
                     size += len(ids) // 4 + 1

@@ -53,6 +53,36 @@ def test_a_word_is_encoded_once_whatever_signs_follow(plain, monkeypatch):
     assert len(words) == len(set(words))
 
 
+class Counted(dict):
+    lookups = 0
+
+    def get(self, *key):
+        self.lookups += 1
+        return super().get(*key)
+
+
+def test_a_distinct_piece_of_a_batch_is_looked_up_once(plain):
+    made = tokens.Encoder(queries.vocabulary())
+    made.known = Counted()
+    texts = ["Haanth ción, thon.\nHaanth thon, ción." * 50, None, "", "thon. " * 100, "a.b@c\u3000d «e f\u2028 g ế\xa0h"]
+    want = [np.array(plain.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes() for text in texts]
+    assert made(pa.array(texts)) == want
+    assert made.known.lookups < 40
+
+
+def test_words_met_again_are_not_forgotten(plain, monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 60)
+    made = tokens.Encoder(queries.vocabulary())
+    words, encode_words = [], made._encode_words
+    monkeypatch.setattr(made, "_encode_words", lambda new: words.extend(new) or encode_words(new))
+    for batch in range(50):
+        fresh = " ".join(f"{chr(97 + batch % 26)}{chr(97 + batch // 26)}{chr(97 + i)}ux" for i in range(9))
+        text = f"Haanth thon ción, {fresh} thon"
+        assert made([text]) == [np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
+        assert len(made.known) < 80
+    assert words.count(" thon") == 1 and words.count("Haanth") == 1 and len(words) >= 450
+
+
 @pytest.mark.parametrize("top", [0, 1, 300, 65_535, 2**32 - 1])
 def test_blocks_round_trip(top):
     r = np.random.default_rng(top)
