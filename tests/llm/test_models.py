@@ -66,7 +66,7 @@ def test_a_distinct_piece_of_a_batch_is_looked_up_once(plain):
     made.known = Counted()
     texts = ["Haanth ción, thon.\nHaanth thon, ción." * 50, None, "", "thon. " * 100, "a.b@c\u3000d «e f\u2028 g ế\xa0h"]
     want = [np.array(plain.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes() for text in texts]
-    assert made(pa.array(texts)) == want
+    assert made([text or "" for text in texts]) == want
     assert made.known.lookups < 40
 
 
