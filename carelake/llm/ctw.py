@@ -11,7 +11,8 @@ of the product of its bits; over all bytes these are probabilities of texts, whi
 
 Only distinct runs of DEPTH + 1 bytes and distinct words are shuffled, per batch of about `BATCH_BYTES` of text: once to be
 counted, once to bring what they are worth back to the batch, where the texts meet it. Nothing of the corpus
-passes the driver but two totals.
+passes the driver but two totals and the first two levels of the tree. All other joins sort and merge whatever Spark makes
+of their sizes: runs and nodes take little space in Parquet, but eight decisions of each run many times that in a hash table.
 
 Learned from texts that are not held out; a row with a null id is not held out. Null and empty texts consist of the end
 token. Repeated rows count, and are scored, as often as they stand there. With nothing to learn from, bits have
@@ -35,6 +36,7 @@ from carelake.llm.common import Scratch, arrow, ship
 from carelake.llm.kernels import pieces
 
 DEPTH = 4
+SENT = 2  # levels whose parents go to all executors: 255 and 65,280 nodes at most
 BATCH_BYTES = 32 << 20
 PIECE_BYTES = 1 << 20
 END = b"\n"
@@ -212,6 +214,7 @@ def mixed(levels: list[DataFrame]) -> DataFrame:
             above = own.select("context", "node", F.col("here").alias("one"), F.col("on").alias("rest"))
             continue
         parents = above.withColumnRenamed("context", "parent")
+        parents = F.broadcast(parents) if d <= SENT else parents.hint("merge")
         own = own.withColumn("parent", F.col("context").bitwiseAND((1 << 8 * (d - 1)) - 1))
         above = own.join(parents, ["parent", "node"]).select(
             "context", "node", (F.col("one") + F.col("rest") * F.col("here")).alias("one"),
@@ -222,7 +225,7 @@ def mixed(levels: list[DataFrame]) -> DataFrame:
 def worth(found: DataFrame, scratch: Scratch, depth: int) -> DataFrame:
     """log10 of the probability of each run's newest byte after the bytes before it."""
     chance = mixed(tree(found, scratch, depth)).select("context", "node", "one")
-    bits = _decisions(found).join(chance, ["context", "node"])
+    bits = _decisions(found).join(chance.hint("merge"), ["context", "node"])
     return bits.groupBy("run").agg(
         F.sum(F.log10(F.when(F.col("bit") == 1, F.col("one")).otherwise(1 - F.col("one")))).alias("value"))
 
@@ -261,7 +264,8 @@ def scored(docs: DataFrame, scratch: Scratch, depth: int = DEPTH) -> DataFrame:
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.expr("nth = 1 and total > 0")).alias("distinct")).first()
     base, n_train = math.log10(total.n + 0.5 * (total.distinct + 1)), total.n
     none = F.lit(None)
-    back = rows.where("run is not null").select("batch", "run").join(worth(found, scratch, depth), "run").select(
+    back = rows.where("run is not null").select("batch", "run").join(
+        worth(found, scratch, depth).hint("merge"), "run").select(
         F.col("batch").alias("of"), "run", none.cast("binary").alias("word"), "value").unionAll(
         words.where("total > 0").select("batch", none.cast("long"), "word", F.col("total").cast("double")))
     kind = dict(docs.dtypes)["doc_id"]

@@ -128,3 +128,14 @@ def test_held_out_texts_of_the_small_table(spark, small, odd):
     assert sum(bits) / sum(b / r.bits_per_byte for b, r in zip(bits, got, strict=True)) < 2.6
     rows = ctw.scored(odd, Scratch(spark, "odd")).collect()
     assert len(rows) == odd.count() and all(r.score < 0 for r in rows)
+
+
+def test_only_the_first_levels_pass_the_driver(spark):
+    """Spark takes runs, nodes and what they are worth for small by their size in Parquet; none of them is replicated."""
+    rows = [(i, prose(i, 200)) for i in range(30)]
+    got = ctw.scored(spark.createDataFrame(rows, "doc_id long, text string"), Scratch(spark, "joins"))
+    before = got._jdf.queryExecution().executedPlan().toString()
+    same(got.collect(), expected(rows, ctw.DEPTH))
+    after = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    for text in (before, after):
+        assert text.count("BroadcastHashJoin") == ctw.SENT and text.count("SortMergeJoin") == ctw.DEPTH - ctw.SENT + 2
